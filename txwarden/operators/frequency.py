@@ -24,12 +24,17 @@ def with_key_frequency(
     row_key: str = "eventId",
     skew: SkewSettings = DEFAULT_SKEW,
     profiles: Sequence[KeyProfile] | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """<key>_freq: rows with the same key, null for a null key."""
+    """<key>_freq: rows with the same key, null for a null key.
+
+    ``counted`` names a cheaper table with the same rows to count in.
+    """
     profiles = profiles or profile_keys(df, *[[k] for k in keys], settings=skew)
+    counted = df if counted is None else counted
     out = df
     for key, profile in zip(keys, profiles):
-        out = attach(out, count_per_key(df, [key], f"{key}_freq"), profile, [row_key])
+        out = attach(out, count_per_key(counted, [key], f"{key}_freq"), profile, [row_key])
     return out.select(*df.columns, *[f"{k}_freq" for k in keys])
 
 
