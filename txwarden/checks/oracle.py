@@ -381,6 +381,13 @@ ORACLES: dict[str, str] = {
         "SELECT eventId, count(*) OVER (PARTITION BY accountNumber ORDER BY transactionTime "
         "RANGE BETWEEN INTERVAL 24 HOURS PRECEDING AND CURRENT ROW) AS transaction_velocity FROM ev"
     ),
+    "velocity_stream": _with(
+        """SELECT accountNumber, CAST(date_trunc('day', transactionTime) AS TIMESTAMP)::VARCHAR
+            AS window_start, count(*) AS transaction_velocity FROM ev
+        GROUP BY accountNumber, date_trunc('day', transactionTime)
+        HAVING date_trunc('day', transactionTime) + INTERVAL 1 DAY
+            <= (SELECT max(transactionTime) FROM ev) - INTERVAL 1 HOUR"""
+    ),
     "merchant_category_frequency": _with(
         "SELECT eventId, "
         + _count_over(

@@ -53,6 +53,7 @@ from txwarden.plans.features import build_features, clean_features, raw_feature_
 from txwarden.plans.full_run import run
 from txwarden.sources.files import read_features, read_results, write_features, write_results
 from txwarden.sources.orders_view import event_transactions, reports, transactions
+from txwarden.streaming.velocity import stream_velocity, write_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -202,6 +203,17 @@ def velocity_six_hours(spark, sf):
     )
 
 
+def velocity_stream(spark, sf):
+    """The event table read as a stream; windows the watermark has closed."""
+    events = event_transactions(spark, sf, stream=True)
+    staging = Staging(spark)
+    out = stream_velocity(events)
+    write_available(out, f"{staging.path}/out", f"{staging.path}/state").awaitTermination()
+    return spark.read.schema(out.schema).parquet(f"{staging.path}/out").select(
+        "accountNumber", _text("window_start"), "transaction_velocity"
+    )
+
+
 def merchant_category_frequency(spark, sf):
     return with_pair_frequency(transactions(spark, sf)).select(
         "eventId", "merchant_category_frequency"
@@ -570,6 +582,7 @@ QUERIES: dict[str, Query] = {
     "velocity_six_hours": velocity_six_hours,
     "velocity_literal": velocity_literal,
     "velocity_trailing": velocity_trailing,
+    "velocity_stream": velocity_stream,
     "merchant_category_frequency": merchant_category_frequency,
     "avg_amount_country_hour": avg_amount_country_hour,
     "avg_amount_hour_events": avg_amount_hour_events,

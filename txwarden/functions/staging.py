@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,12 +30,13 @@ class Staging:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.path = f"{shared_folder(spark).rstrip('/')}/txwarden/{uuid.uuid4().hex}"
+        atexit.register(self._close_at_exit)
 
-    def write(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    def write(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
         """Write ``df`` as parquet and read it back: later passes prune columns and
         survive lost executors without repeating the plan behind ``df``."""
         path = f"{self.path}/{name}-{uuid.uuid4().hex[:8]}"
-        df.write.partitionBy(*partition_by).parquet(path)
+        rebalanced(df, partition_by).write.partitionBy(*partition_by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path).select(*map(quoted, df.columns))
 
     def close(self) -> None:
@@ -42,6 +44,12 @@ class Staging:
         hadoop = self.spark.sparkContext._jsc.hadoopConfiguration()
         target.getFileSystem(hadoop).delete(target, True)
 
+    def _close_at_exit(self) -> None:
+        try:
+            self.close()
+        except Exception:  # the session may be gone; the folder is scratch space anyway
+            pass
+
     def __enter__(self) -> "Staging":
         return self
 
@@ -49,7 +57,13 @@ class Staging:
         self.close()
 
 
-def stage(df: DataFrame, name: str = "table", partition_by: tuple[str, ...] = ()) -> DataFrame:
+def rebalanced(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Gather rows by folder key before a partitioned write, so that tasks do not each
+    write a small file per folder; adaptive execution splits a heavy key over tasks."""
+    return df.hint("rebalance", *keys) if keys else df
+
+
+def stage(df: DataFrame, name: str = "table", partition_by: Sequence[str] = ()) -> DataFrame:
     """One-off staged table for lazily returned results; it lives as long as the folder."""
     return Staging(df.sparkSession).write(df, name, partition_by)
 

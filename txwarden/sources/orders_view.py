@@ -5,9 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Declared, so that planning needs no job to look into the files; only the columns in use.
+SCHEMAS = {
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+    "l_returnflag string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey long, o_custkey long, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey long, c_acctbal double",
+    "supplier": "s_suppkey long, s_nationkey int",
+    "part": "p_partkey long, p_brand string",
+    "nation": "n_nationkey int, n_name string",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, "
+    "value double, props string",
+}
+
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def transactions(spark: SparkSession, folder: str) -> DataFrame:
@@ -53,9 +67,15 @@ def reports(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def event_transactions(spark: SparkSession, folder: str) -> DataFrame:
-    """The event stream as transactions with times inside the day."""
-    return _table(spark, folder, "events").select(
+def event_transactions(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
+    """The events as transactions with times inside the day, as a table or a stream."""
+    if stream:
+        reader = spark.readStream.schema(SCHEMAS["events"])
+        # a stream reads folders: the filter picks the one table
+        events = reader.option("pathGlobFilter", "events.parquet").parquet(folder)
+    else:
+        events = _table(spark, folder, "events")
+    return events.select(
         F.col("event_id").alias("eventId"),
         F.col("user_id").alias("accountNumber"),
         F.get_json_object("props", "$.k").alias("merchantId"),
