@@ -20,9 +20,11 @@ def join_labels(
     """Left join of reports; a null key matches a null key and every report of an event
     keeps its own row, unless ``dedupe="first_report"``.
 
-    Null keys are dealt over salts on the left and repeated per salt on the right. An event
-    with very many reports is joined apart: its reports are dealt over salts and its
-    transactions repeated (they all match, so the inner join loses nothing).
+    Reports are few as a rule; up to ``broadcast_keys`` of them (counted) are broadcast and
+    the transactions stay where they are. Otherwise null keys are dealt over salts on the
+    left and repeated per salt on the right, and an event with very many reports is joined
+    apart: its reports are dealt over salts and its transactions repeated (they all match,
+    so the inner join loses nothing).
     """
     right = labels.select(F.col(key).alias("_k"), "reportedTime")
     if dedupe == "first_report":
@@ -30,6 +32,9 @@ def join_labels(
     elif dedupe is not None:
         raise ValueError(f"unknown dedupe {dedupe!r}")
     (profile,) = profile_keys(right.withColumnRenamed("_k", key), [key], settings=skew)
+    if profile.rows <= skew.broadcast_keys:
+        same = F.col(key).eqNullSafe(F.col("_k"))
+        return tx.join(F.broadcast(right), same, "left").select(*tx.columns, "reportedTime")
     many = F.xxhash64("_k").isin(list(profile.hot)) & F.col("_k").isNotNull()
 
     left, plain = tx, right

@@ -10,10 +10,16 @@ from pyspark.sql import functions as F
 
 from txwarden.config import JobConfig
 from txwarden.functions.staging import Staging
-from txwarden.operators.boosting import BoostedTrees, fit_boosted_trees, with_probability
+from txwarden.functions.trees import score_by_key
+from txwarden.operators.boosting import (
+    BoostedTrees,
+    fit_boosted_trees,
+    sigmoid,
+    with_probability,
+)
 from txwarden.operators.evaluate import monthly_evaluation
 from txwarden.operators.folds import best_fold, fold_precision, with_folds
-from txwarden.operators.forest import fit_forest, score_forest, with_decision
+from txwarden.operators.forest import fit_forest, load_forests, with_decision
 from txwarden.operators.ranking import combined_score, top_n
 from txwarden.operators.resample import adasyn, near_miss
 from txwarden.operators.vectors import feature_columns, with_features
@@ -36,10 +42,19 @@ def month_slice(df: DataFrame, month: int) -> DataFrame:
     return df.where(F.col("month") == month)
 
 
-def forest_scores(table: DataFrame, cfg: JobConfig, staging: Staging) -> DataFrame:
-    """Raw score and decision of every row, all months in one job each."""
-    model = staging.write(fit_forest(table, cfg.forest, cfg.seed), "forest")
-    scored = staging.write(score_forest(table, model), "anomaly")
+def scored_rows(
+    table: DataFrame, models: dict[int, BoostedTrees], cfg: JobConfig, staging: Staging
+) -> DataFrame:
+    """Anomaly, decision and probability of every row.
+
+    The forests of all months are built in one job. Both scores are computed in one pass
+    over the rows, so nothing is joined back, and stored, since the decision's quantile
+    reads them again.
+    """
+    forests = load_forests(fit_forest(table, cfg.forest, cfg.seed))
+    scored = score_by_key(table, {"anomaly": forests, "probability": models}, "month")
+    scored = scored.withColumn("probability", sigmoid(F.col("probability")))
+    scored = staging.write(scored, "scored")
     return with_decision(scored, cfg.forest.contamination)
 
 
@@ -116,24 +131,12 @@ def review_list(
     anomaly and probability together."""
     staging = staging or Staging(features.sparkSession)
     table = model_table(features, cfg, staging)
-    anomalies = staging.write(forest_scores(table, cfg, staging), "decision")
-    models = walk_forward(table, cfg, staging)
-    probabilities = with_probability(table.select("eventId", "month", "features"), models, "month")
-    scored = anomalies.join(
-        probabilities.select(F.col("eventId").alias("_e"), "probability"),
-        F.col("eventId") == F.col("_e"),
-        "left",
-    ).drop("_e")
-    return _ranked(scored, cfg, staging)
-
-
-def _ranked(scored: DataFrame, cfg: JobConfig, staging: Staging) -> tuple[DataFrame, DataFrame]:
+    scored = scored_rows(table, walk_forward(table, cfg, staging), cfg, staging)
     alone = F.col("decision") if cfg.score_mode == "product" else F.col("anomaly")
     both = combined_score(mode=cfg.score_mode)
     score = F.when(F.col("probability").isNull(), alone).otherwise(both)
-    scored = staging.write(scored.withColumn("score", score), "scored")
-    flagged = top_n(scored, "score", cfg.review_budget)
-    return scored, flagged
+    scored = scored.withColumn("score", score)
+    return scored, top_n(scored, "score", cfg.review_budget)
 
 
 def anomaly_review(
@@ -141,7 +144,7 @@ def anomaly_review(
 ) -> tuple[DataFrame, DataFrame]:
     """(scored rows, flagged rows) by anomaly alone, every month."""
     staging = staging or Staging(features.sparkSession)
-    scored = forest_scores(model_table(features, cfg, staging), cfg, staging)
+    scored = scored_rows(model_table(features, cfg, staging), {}, cfg, staging)
     return scored, top_n(scored, "decision", cfg.review_budget)
 
 
