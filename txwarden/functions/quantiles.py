@@ -1,8 +1,8 @@
 """Exact order statistics and quantiles without gathering a column in one task.
 
 Small groups use Spark's ``percentile``. For larger ones each wanted rank is closed in on:
-a quantile sketch proposes two pivots, one aggregate counts the rows below, on and between
-them, and the search goes on in the open interval that holds the rank. Counts are exact,
+a quantile sketch proposes two pivots, one aggregate counts the rows on and between all
+pivots, and the search goes on in the open intervals that hold ranks. Counts are exact,
 so the answer is exact whatever the sketch's error, and a value repeated in a third of the
 rows ends up as a pivot instead of in an interval.
 """
@@ -17,21 +17,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 2_000_000
+SMALL_ROWS = 250_000
 MAX_GROUPS = 100_000
-GRID = 1000
-SKETCH_ACCURACY = 20_000
+GRID = 500
+SKETCH_ACCURACY = 5_000
 
 
 @dataclass
-class _Target:
+class _Interval:
+    """Open interval of a group's values that still holds wanted ranks."""
+
     group: tuple
-    rank: int  # 0-based rank within the group
     low: float | None  # exclusive bounds, None = open
     high: float | None
     below: int  # rows of the group at or under ``low``
     inside: int  # rows strictly between the bounds
-    value: float | None = None
+    ranks: list[int]  # wanted 0-based ranks of the group in here
 
 
 @dataclass(frozen=True)
@@ -129,32 +130,29 @@ def _join_groups(work: DataFrame, small: DataFrame, by: Sequence[str]) -> DataFr
 
 
 def _select(work, by, wanted, small_rows) -> dict[tuple, float]:
-    targets = [
-        _Target(group, rank, None, None, 0, rows)
-        for group, (rows, group_ranks) in wanted.items()
-        for rank in sorted(group_ranks)
-    ]
-    while True:
-        active = [t for t in targets if t.value is None and t.inside > small_rows]
-        if not active:
-            break
-        _narrow(work, by, active)
-    rest = [t for t in targets if t.value is None]
-    if rest:
-        _finish(work, by, rest)
-    return {(t.group, t.rank): t.value for t in targets}
-
-
-def _inside(work: DataFrame, by: Sequence[str], targets: list[_Target], extra=()) -> DataFrame:
-    """Rows of each target's open interval, tagged with the target's number."""
-    key_fields = list(work.select(*by).schema.fields)
+    """{(group, rank): value} for ``wanted`` {group: (rows, ranks)}."""
+    found: dict[tuple, float] = {}
+    left = [_Interval(g, None, None, 0, n, sorted(ranks)) for g, (n, ranks) in wanted.items()]
+    while large := [i for i in left if i.inside > small_rows]:
+        left = [i for i in left if i.inside <= small_rows]
+        left += _narrow(work, by, large, found)
+    if left:
+        _finish(work, by, left, found)
+    return found
+
+
+def _inside(
+    work: DataFrame, by: Sequence[str], intervals: list[_Interval], extra: list[list[float]]
+) -> DataFrame:
+    """Rows of the intervals, which are disjoint, tagged with the interval's number."""
     rows = [
-        (*t.group, i, t.low, t.high, t.rank - t.below, *(e[i] for e in extra))
-        for i, t in enumerate(targets)
+        (*i.group, number, i.low, i.high, values)
+        for number, (i, values) in enumerate(zip(intervals, extra))
     ]
-    names = "_t int, _low double, _high double, _want long"
-    names += "".join(f", _e{j} double" for j in range(len(extra)))
-    prefix = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in key_fields)
+    names = "_t int, _low double, _high double, _extra array<double>"
+    prefix = ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}" for f in work.select(*by).schema.fields
+    )
     small = work.sparkSession.createDataFrame(rows, f"{prefix}, {names}" if prefix else names)
     keys = list(by)
     if not keys:  # a constant key stands in when there is no grouping
@@ -162,68 +160,69 @@ def _inside(work: DataFrame, by: Sequence[str], targets: list[_Target], extra=()
     within = (F.col("_low").isNull() | (F.col("_v") > F.col("_low"))) & (
         F.col("_high").isNull() | (F.col("_v") < F.col("_high"))
     )
-    return _join_groups(work, small, keys).where(within)
+    return _join_groups(work, small, keys).where(within).select("_t", "_v", "_extra")
 
 
-def _narrow(work: DataFrame, by: Sequence[str], targets: list[_Target]) -> None:
+def _narrow(
+    work: DataFrame, by: Sequence[str], intervals: list[_Interval], found: dict[tuple, float]
+) -> list[_Interval]:
+    """Put two pivots around each rank, count the rows on and between them, and return the
+    gaps that hold ranks; ranks that fall on a pivot are done."""
     steps = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
     sketch = {
         row["_t"]: row["_grid"]
-        for row in _inside(work, by, targets)
+        for row in _inside(work, by, intervals, [[] for _ in intervals])
         .groupBy("_t")
         .agg(F.percentile_approx("_v", steps, F.lit(SKETCH_ACCURACY)).alias("_grid"))
         .collect()
     }
-    first, last = [], []
-    for i, t in enumerate(targets):
-        position = (t.rank - t.below) / max(1, t.inside - 1) * GRID
-        first.append(float(sketch[i][max(0, math.floor(position) - 1)]))
-        last.append(float(sketch[i][min(GRID, math.ceil(position) + 1)]))
-    a, b, v = F.col("_e0"), F.col("_e1"), F.col("_v")
-    counts = (
-        _inside(work, by, targets, extra=(first, last))
-        .groupBy("_t")
-        .agg(
-            F.count_if(v < a).alias("under"),
-            F.count_if(v == a).alias("on_a"),
-            F.count_if((v > a) & (v < b)).alias("mid"),
-            F.count_if((v == b) & (b > a)).alias("on_b"),
-            F.count_if(v > b).alias("over"),
-        )
-        .collect()
-    )
-    for row in counts:
-        t, low, high = targets[row["_t"]], first[row["_t"]], last[row["_t"]]
-        want = t.rank - t.below
-        if want < row["under"]:
-            t.high, t.inside = low, row["under"]
-            continue
-        want -= row["under"]
-        if want < row["on_a"]:
-            t.value = low
-            continue
-        want -= row["on_a"]
-        if want < row["mid"]:
-            t.below += row["under"] + row["on_a"]
-            t.low, t.high, t.inside = low, high, row["mid"]
-            continue
-        want -= row["mid"]
-        if want < row["on_b"]:
-            t.value = high
-            continue
-        t.below += row["under"] + row["on_a"] + row["mid"] + row["on_b"]
-        t.low, t.inside = high, row["over"]
-
-
-def _finish(work: DataFrame, by: Sequence[str], targets: list[_Target]) -> None:
-    """Intervals of at most ``small_rows`` rows: running count over their distinct values."""
-    counted = _inside(work, by, targets).groupBy("_t", "_want", "_v").count()
-    upto = Window.partitionBy("_t").orderBy("_v")
+    pivots = []
+    for number, i in enumerate(intervals):
+        around = set()
+        for rank in i.ranks:
+            position = (rank - i.below) / max(1, i.inside - 1) * GRID
+            around.add(float(sketch[number][max(0, math.floor(position) - 1)]))
+            around.add(float(sketch[number][min(GRID, math.ceil(position) + 1)]))
+        pivots.append(sorted(around))
+    # slot 2k: between pivots k-1 and k; slot 2k+1: on pivot k
+    under = F.size(F.filter("_extra", lambda pivot: pivot < F.col("_v")))
+    slot = under * 2 + F.array_contains("_extra", F.col("_v")).cast("int")
+    counts: dict[int, dict[int, int]] = {}
     for row in (
-        counted.withColumn("_upto", F.sum("count").over(upto))
-        .where(F.col("_upto") > F.col("_want"))
-        .groupBy("_t")
-        .agg(F.min("_v").alias("_v"))
-        .collect()
+        _inside(work, by, intervals, pivots).groupBy("_t", slot.alias("_s")).count().collect()
     ):
-        targets[row["_t"]].value = row["_v"]
+        counts.setdefault(row["_t"], {})[row["_s"]] = row["count"]
+    gaps = []
+    for number, i in enumerate(intervals):
+        own, below = pivots[number], i.below
+        for at in range(2 * len(own) + 1):
+            rows = counts[number].get(at, 0)
+            ranks = [r for r in i.ranks if below <= r < below + rows]
+            k = at // 2
+            if ranks and at % 2:
+                found.update({(i.group, r): own[k] for r in ranks})
+            elif ranks:
+                low = own[k - 1] if k else i.low
+                high = own[k] if k < len(own) else i.high
+                gaps.append(_Interval(i.group, low, high, below, rows, ranks))
+            below += rows
+    return gaps
+
+
+def _finish(
+    work: DataFrame, by: Sequence[str], intervals: list[_Interval], found: dict[tuple, float]
+) -> None:
+    """Intervals of at most ``small_rows`` rows: running count over their distinct values."""
+    wants = [[float(r - i.below) for r in i.ranks] for i in intervals]
+    counted = _inside(work, by, intervals, wants).groupBy("_t", "_v").agg(
+        F.count(F.lit(1)).alias("_n"), F.first("_extra").alias("_wants")
+    )
+    upto = Window.partitionBy("_t").orderBy("_v")
+    hits = (
+        counted.withColumn("_upto", F.sum("_n").over(upto))
+        .select("_t", "_v", "_n", "_upto", F.explode("_wants").alias("_want"))
+        .where((F.col("_want") < F.col("_upto")) & (F.col("_want") >= F.col("_upto") - F.col("_n")))
+    )
+    for row in hits.collect():
+        i = intervals[row["_t"]]
+        found[i.group, int(row["_want"]) + i.below] = row["_v"]
