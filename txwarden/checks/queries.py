@@ -49,7 +49,7 @@ from txwarden.plans.detection import (
     training_sets,
 )
 from txwarden.plans.explore import correlated_columns
-from txwarden.plans.features import build_features, clean_features, raw_feature_columns
+from txwarden.plans.features import feature_table, raw_feature_columns
 from txwarden.plans.full_run import run
 from txwarden.sources.files import read_features, read_results, write_features, write_results
 from txwarden.sources.orders_view import event_transactions, reports, transactions
@@ -483,7 +483,7 @@ def balanced_classes(spark, sf):
 
 
 def _features(spark, sf) -> DataFrame:
-    return clean_features(build_features(transactions(spark, sf), reports(spark, sf)))
+    return feature_table(transactions(spark, sf), reports(spark, sf))
 
 
 FEATURE_ROUNDED = (

@@ -31,10 +31,10 @@ def join_labels(
         right = right.groupBy("_k").agg(F.min("reportedTime").alias("reportedTime"))
     elif dedupe is not None:
         raise ValueError(f"unknown dedupe {dedupe!r}")
-    (profile,) = profile_keys(right.withColumnRenamed("_k", key), [key], settings=skew)
-    if profile.rows <= skew.broadcast_keys:
+    if right.count() <= skew.broadcast_keys:
         same = F.col(key).eqNullSafe(F.col("_k"))
         return tx.join(F.broadcast(right), same, "left").select(*tx.columns, "reportedTime")
+    (profile,) = profile_keys(right.withColumnRenamed("_k", key), [key], settings=skew)
     many = F.xxhash64("_k").isin(list(profile.hot)) & F.col("_k").isNotNull()
 
     left, plain = tx, right

@@ -75,20 +75,35 @@ def build_features(
     staging: Staging | None = None,
     entry_modes: Sequence[str] | None = None,
     skew: SkewSettings = DEFAULT_SKEW,
+    drop_early: Sequence[str] = (),
 ) -> DataFrame:
     """Features with labels, scaled, with the country and hour means of the scaled amount.
 
     The joined table is staged once: quartiles and means read single columns of it.
+    ``drop_early`` names columns that need not get that far.
     """
     staging = staging or Staging(tx.sparkSession)
-    staged = staging.write(joined_features(tx, labels, cfg, entry_modes, skew), "joined")
+    joined = drop_columns(joined_features(tx, labels, cfg, entry_modes, skew), drop_early)
+    staged = staging.write(joined, "joined")
     scaled = fit_robust_scale(staged, cfg.scaled_columns).transform(staged)
     return with_average_amounts(scaled, "transactionAmount", AVERAGED_KEYS, skew=skew)
 
 
-def clean_features(features: DataFrame, cfg: JobConfig = JobConfig()) -> DataFrame:
-    """Gaps filled, working columns dropped; the event key stays to identify rows."""
-    return drop_columns(fill_missing(features), cfg.dropped_columns, keep_key="eventId")
+def feature_table(
+    tx: DataFrame,
+    labels: DataFrame,
+    cfg: JobConfig = JobConfig(),
+    staging: Staging | None = None,
+    entry_modes: Sequence[str] | None = None,
+    skew: SkewSettings = DEFAULT_SKEW,
+) -> DataFrame:
+    """:func:`build_features` with gaps filled and working columns dropped; the event key
+    stays to identify rows. Columns without a later use are dropped before staging, which
+    also keeps unused ones out of the scan and the shuffles."""
+    late = [c for c in cfg.dropped_columns if c == "eventId" or c in AVERAGED_KEYS]
+    early = [c for c in cfg.dropped_columns if c not in late]
+    features = build_features(tx, labels, cfg, staging, entry_modes, skew, early)
+    return drop_columns(fill_missing(features), late, keep_key="eventId")
 
 
 def preprocess_job(
@@ -97,8 +112,7 @@ def preprocess_job(
     """Write the feature table; return it with the missing-value report and the profile."""
     spark = tx.sparkSession
     with Staging(spark) as staging:
-        features = clean_features(build_features(tx, labels, cfg, staging), cfg)
-        write_features(features, out_path)
+        write_features(feature_table(tx, labels, cfg, staging), out_path)
     written = spark.read.parquet(out_path)
     return {
         "features": written,
