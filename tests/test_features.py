@@ -23,6 +23,7 @@ from txwarden.operators.temporal import (
     with_weekday_columns,
 )
 from txwarden.operators.velocity import account_window_features, with_velocity
+from txwarden.plans.features import feature_table
 
 # Every key is hot, so that the separate paths run on small tables.
 ALL_HOT = SkewSettings(min_hot_rows=2, max_hot_keys=50, sketch_items=1000, broadcast_keys=0)
@@ -210,6 +211,27 @@ def test_account_windows_need_one_shuffle(spark):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_feature_table_is_the_same_with_hot_keys(spark):
+    third = F.col("eventId") % 3
+    tx = skewed(spark).withColumns(
+        {
+            "merchantZip": F.lit("z"),
+            "posEntryMode": F.when(third == 0, "chip").otherwise("web"),
+            "availableCash": (F.col("eventId") % 9).cast("double"),
+        }
+    )
+    labels = tx.where("eventId % 10 = 3").select(
+        "eventId", F.expr("transactionTime + interval 5 hours").alias("reportedTime")
+    )
+    hot = SkewSettings(min_hot_rows=20, max_hot_keys=100, sketch_items=1000, broadcast_keys=0)
+    expected = feature_table(tx, labels)
+    assert "merchantZip" not in expected.columns and expected.count() == 3000
+    def rounded(df):
+        doubles = [f.name for f in df.schema if f.dataType.simpleString() == "double"]
+        return rows_of(df.withColumns({c: F.round(c, 9) for c in doubles}))
+    assert rounded(feature_table(tx, labels, skew=hot)) == rounded(expected)
+
+
 def test_key_frequency_skips_nulls(spark):
     rows = [(1, "a"), (2, "a"), (3, None), (4, None)]
     df = spark.createDataFrame(rows, "eventId long, mcc string")

@@ -483,7 +483,8 @@ def balanced_classes(spark, sf):
 
 
 def _features(spark, sf) -> DataFrame:
-    return feature_table(transactions(spark, sf), reports(spark, sf))
+    # stored first, as transactions usually are: the job scans single columns several times
+    return feature_table(stage(transactions(spark, sf)), reports(spark, sf))
 
 
 FEATURE_ROUNDED = (
@@ -521,7 +522,7 @@ def isolation_forest_scores(spark, sf):
     table = with_features(
         _dated(spark, sf), ["transactionAmount", "availableCash", "day", "weekday"]
     ).select("eventId", "month", "features")
-    table = stage(table)
+    table = stage(table, "points", ("month",))
     scored = stage(score_forest(table, stage(fit_forest(table))))
     return with_decision(scored, 0.1)
 
