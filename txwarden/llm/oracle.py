@@ -1,3 +1,67 @@
 """Expected results in SQL, for the queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_pareto_mix": r"""
+WITH base AS (
+    SELECT doc_id, source,
+           coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+           ((('0x' || substr(md5('0|' || coalesce(doc_id::VARCHAR, md5(text))), 1, 13))::BIGINT)::DOUBLE + 0.5)
+               / 4503599627370496.0 AS u
+    FROM documents),
+sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM base GROUP BY source),
+weighed AS (
+    SELECT *, source_size * 3 AS cap,
+           1 + ((row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3) AS weight
+    FROM sources),
+levels AS (
+    SELECT *,
+           (sum(source_size) OVER () - (sum(cap) OVER f - cap))::DOUBLE
+               / (sum(weight) OVER () - sum(weight) OVER f + weight)::DOUBLE AS level,
+           row_number() OVER f AS place
+    FROM weighed
+    WINDOW f AS (ORDER BY cap::DOUBLE / weight::DOUBLE, source ASC NULLS LAST
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+water AS (SELECT arg_min(level, place) AS water FROM levels WHERE cap >= weight * level),
+targets AS (
+    SELECT source, source_size, coalesce(least(cap::DOUBLE, weight * water), 0) AS target
+    FROM levels, water),
+odds AS (
+    SELECT b.*, t.source_size, t.target,
+           floor(CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END) AS whole,
+           CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS copies
+    FROM base b JOIN targets t ON b.source IS NOT DISTINCT FROM t.source),
+ranked AS (
+    SELECT *, copies - whole AS p,
+           CASE WHEN copies > whole
+                THEN u / (1 - u) / ((copies - whole) / (1 - (copies - whole))) END AS rank
+    FROM odds),
+summed AS (
+    SELECT *,
+           sum(size) OVER (PARTITION BY source ORDER BY rank, doc_id NULLS LAST, size
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto,
+           sum(p * size) OVER (PARTITION BY source) AS quota
+    FROM ranked)
+SELECT doc_id, size, source_size, target,
+       (size * (whole + CASE WHEN p > 0 AND upto - size / 2.0 < quota THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM summed
+""",
+    "op10_warc_transactions": """
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS body FROM pages),
+h AS (
+    SELECT page_id, strlen(body)::BIGINT AS payload_bytes, sha1(body) AS hex,
+           min(page_id) OVER (PARTITION BY body) AS first_id
+    FROM p),
+d AS (
+    SELECT *, array_to_string(list_transform(range(32), lambda i:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               1 + ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INTEGER,
+               1)), '') AS payload_digest
+    FROM h)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > first_id THEN first_id END AS refers_to,
+       1::INTEGER AS n_requests
+FROM d
+""",
+}

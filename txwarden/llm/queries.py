@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txwarden.functions.staging import Staging
+from txwarden.llm.mixing import pareto_mix
+from txwarden.llm.quality_rules import quality_verdicts
 from txwarden.llm.token_counts import prefix_token_counts
+from txwarden.llm.warc import assemble, read_warc, resolve_revisits, write_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 #: Limits and files that the registered queries use.
 TOKENIZER = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
+MIX_WEIGHTS, MIX_COPIES = (1, 2, 3), 3
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]):
@@ -32,3 +37,37 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_token_counts(docs, TOKENIZER, TOKEN_LIMIT).select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"), "fit_chars"
     )
+
+
+@query
+def op3_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules, then distance from the robust estimate of a document's language and source."""
+    return quality_verdicts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken from every document so that sources come near weights 1, 2, 3, repeating."""
+    docs = table(spark, sf_dir, "documents")
+    return pareto_mix(docs, weights=MIX_WEIGHTS, max_copies=MIX_COPIES).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
+@query
+def op10_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC archives, read back and assembled, one row a capture."""
+    pages = table(spark, sf_dir, "pages")
+    path = f"{Staging(spark).path}/warc"
+    write_warc(pages, path)
+    captures = resolve_revisits(assemble(read_warc(spark, path, payload=False)))
+    kind = pages.schema["page_id"].dataType
+    revisit = F.col("type") == "revisit"
+    return captures.select(
+        F.col("page").cast(kind).alias("page_id"),
+        F.when(revisit, F.col("origin_bytes")).otherwise(F.col("response.payload_bytes")).alias("payload_bytes"),
+        F.when(revisit, F.col("origin_digest")).otherwise(F.col("response.payload_digest")).alias("payload_digest"),
+        F.col("type").alias("record_type"),
+        F.when(revisit, F.col("origin_page")).cast(kind).alias("refers_to"),
+        F.size("requests").alias("n_requests"),
+    )

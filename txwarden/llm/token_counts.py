@@ -37,7 +37,7 @@ REMEMBERED = 500_000
 WIDE = 1 << 24
 
 # White space as Unicode's White_Space property lists it.
-SPACE = "\t-\r \x85\xa0  -     　"
+SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Python's str.split() also splits at these, which are no white space to the tokenizer.
 NO_SPACE = re.compile("[\x1c-\x1f]")
 PIECES = re.compile(f"[^{SPACE}]+")
