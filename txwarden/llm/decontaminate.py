@@ -227,21 +227,24 @@ def decontaminate(
     size = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-2 * size // SHARD_BYTES))
     shard = F.pmod(F.xxhash64("id", "text"), F.lit(shards))
-    id_type = docs.schema[id_col].dataType
+    texts = docs.select(
+        F.col(quoted(id_col)).alias("id"),
+        F.col(quoted(text_col)).cast("string").alias("_text"),
+        *map(quoted, keep),
+    )
+    carried = list(keep)
+    if shards > 1:
+        texts, carried = texts.withColumn("_key", F.xxhash64("_text")), [*keep, "_key"]
     found_type = T.StructType(
         [
-            T.StructField("id", id_type),
-            *[docs.schema[k] for k in keep],
+            texts.schema["id"],
+            *[texts.schema[k] for k in carried],
             T.StructField("n_words", T.LongType()),
             T.StructField("n_hit", T.LongType()),
             T.StructField("spans", T.ArrayType(SPAN)),
             T.StructField("items", T.ArrayType(T.StringType())),
         ]
     )
-    texts = docs.select(
-        F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).cast("string").alias("_text"), *map(quoted, keep)
-    )
-
     def scan(part: list[tuple[str | None, str]], texts: DataFrame) -> DataFrame:
         held = spark.sparkContext.broadcast(part)  # at most about SHARD_BYTES, see above
 
@@ -265,7 +268,7 @@ def decontaminate(
                     yield pa.RecordBatch.from_arrays(
                         [
                             part.column(0),
-                            *[part.column(k + 2) for k in range(len(keep))],
+                            *[part.column(k + 2) for k in range(len(carried))],
                             pa.array(np.diff(words.first), pa.int64()),
                             pa.array(hit),
                             pa.array(spans, ARROW_SPANS),
@@ -283,7 +286,7 @@ def decontaminate(
     if shards == 1:
         found = scan(part_of(0), texts)
     else:
-        found = joined([scan(part_of(k), texts) for k in range(shards)], keep)
+        found = joined([scan(part_of(k), texts) for k in range(shards)])
     ids = F.array_sort(F.array_distinct("items"))
     return found.select(
         F.col("id").alias(id_col),
@@ -297,8 +300,35 @@ def decontaminate(
     )
 
 
-def joined(found: list[DataFrame], keep: tuple[str, ...]) -> DataFrame:
-    """The results of several shards as one: few rows have hits, and those are merged by
-    document. Rows alike in id, kept columns and word count that hit the same are one key."""
-    staged = [stage(f.withColumn("shard", F.lit(k)), "hits") for k, f in enumerate(found)]
-    return staged[0]
+def joined(found: list[DataFrame]) -> DataFrame:
+    """The results of several shards as one. Only documents with hits are merged, by id and hash
+    of the text; equal documents have equal hits, so merging them together changes nothing."""
+    first, *others = [stage(f, "hits") for f in found]
+    hit = reduce(DataFrame.unionByName, [f.filter("n_hit > 0") for f in others])
+    more = hit.groupBy(F.col("id").alias("of"), F.col("_key").alias("of_key")).agg(
+        F.flatten(F.collect_list("spans")).alias("more_spans"),
+        F.array_distinct(F.flatten(F.collect_list("items"))).alias("more_items"),
+    )
+    both = first.join(more, F.col("id").eqNullSafe(F.col("of")) & F.col("_key").eqNullSafe(F.col("of_key")), "left")
+    with_more = lambda c: F.concat(c, F.coalesce(f"more_{c}", F.array().cast(first.schema[c].dataType)))
+    both = both.withColumn("items", with_more("items"))
+    spans = F.array_sort(with_more("spans"))
+    # Ranges in order; one that overlaps the last of those so far is joined to it.
+    none = F.array().cast(first.schema["spans"].dataType)
+
+    def add(done, x):
+        last = F.get(done, F.size(done) - 1)
+        wider = F.struct(
+            last["start"].alias("start"),
+            F.greatest(last["end"], x["end"]).alias("end"),
+            last["first_word"].alias("first_word"),
+            F.greatest(last["last_word"], x["last_word"]).alias("last_word"),
+        )
+        apart = (F.size(done) == 0) | (last["last_word"] < x["first_word"])
+        return F.when(apart, F.concat(done, F.array(x))).otherwise(
+            F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(wider))
+        )
+
+    both = both.withColumn("spans", F.aggregate(spans, none, add))
+    words = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["last_word"] - x["first_word"])
+    return both.withColumn("n_hit", words).drop("of", "of_key", "more_spans", "more_items", "_key")

@@ -1,6 +1,64 @@
 """Expected results in SQL, for the queries that SQL can express."""
 
 ORACLES: dict[str, str] = {
+    "op4_perspectives": """
+WITH t AS (
+    SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS content
+    FROM conversations),
+speakers AS (SELECT DISTINCT conv_id, role AS perspective FROM t WHERE lower(role) <> 'system'),
+m AS (
+    SELECT s.conv_id, s.perspective, t.turn, t.content,
+           CASE WHEN lower(t.role) = 'system' THEN 'system'
+                WHEN t.role = s.perspective THEN 'assistant' ELSE 'user' END AS role, t.role AS name
+    FROM speakers s JOIN t ON s.conv_id IS NOT DISTINCT FROM t.conv_id),
+h AS (
+    SELECT *, '<|im_start|>' || role || CASE WHEN role = 'user' THEN ' name=' || name ELSE '' END || chr(10) AS head
+    FROM m),
+w AS (
+    SELECT *, length(head) + length(content) + 11 AS size,
+           sum(length(head) + length(content) + 11) OVER (
+               PARTITION BY conv_id, perspective ORDER BY turn
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+    FROM h)
+SELECT conv_id, perspective, 0::BIGINT AS segment, count(*)::BIGINT AS n_messages,
+       string_agg(head || content || '<|im_end|>' || chr(10), '' ORDER BY turn) AS text,
+       string_agg(CASE WHEN role = 'assistant'
+                       THEN (upto - size + length(head))::BIGINT::VARCHAR || '-' || upto::BIGINT::VARCHAR END,
+                  ',' ORDER BY turn) AS mask,
+       sum(CASE WHEN role = 'assistant' THEN size - length(head) ELSE 0 END)::BIGINT AS n_masked
+FROM w GROUP BY conv_id, perspective
+""",
+    "op8_benchmark_spans": r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents),
+b AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark),
+windows AS (
+    SELECT DISTINCT item_id, least(len(w), 13) AS size,
+           array_to_string(list_slice(w, i, i + least(len(w), 13) - 1), ' ') AS run
+    FROM (SELECT *, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM windows),
+runs AS (
+    SELECT doc_id, i, size, array_to_string(list_slice(w, i, i + size - 1), ' ') AS run
+    FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
+          FROM d, sizes WHERE len(w) >= size)),
+hits AS (SELECT doc_id, i, size, item_id FROM runs JOIN windows USING (size, run)),
+words AS (
+    SELECT doc_id, count(DISTINCT k) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + size)) AS k FROM hits) GROUP BY doc_id),
+items AS (
+    SELECT doc_id, count(DISTINCT item_id) AS n_items,
+           sha256(string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR)) AS items_sha256
+    FROM hits GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
+       coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
     "op9_pareto_mix": r"""
 WITH base AS (
     SELECT doc_id, source,

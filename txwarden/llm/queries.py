@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txwarden.functions.staging import Staging
+from txwarden.functions.staging import Staging, stage
+from txwarden.llm.decontaminate import decontaminate
+from txwarden.llm.language_id import identify
 from txwarden.llm.mixing import pareto_mix
+from txwarden.llm.perspectives import rotate_perspectives
+from txwarden.llm.quality_classifier import quality_scores
 from txwarden.llm.quality_rules import quality_verdicts
+from txwarden.llm.suffix_dedup import remove_repeats
 from txwarden.llm.token_counts import prefix_token_counts
 from txwarden.llm.warc import assemble, read_warc, resolve_revisits, write_warc
 
@@ -18,6 +23,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: Limits and files that the registered queries use.
 TOKENIZER = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
+REPEAT_BYTES = 50
+GOOD = 0.7
+ITEM_WINDOW = 13
 MIX_WEIGHTS, MIX_COPIES = (1, 2, 3), 3
 
 
@@ -39,12 +47,64 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op1_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes left of every document after repeats of earlier documents are removed."""
+    return remove_repeats(table(spark, sf_dir, "documents"), length=REPEAT_BYTES).drop("spans")
+
+
+def held_out(doc_id: str = "doc_id") -> Column:
+    """The quarter of documents that models are judged on and never learn from."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+@query
+def op2_partial_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every whole text, learned from rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    found = identify(docs, ~held_out())
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
 @query
 def op3_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules, then distance from the robust estimate of a document's language and source."""
     return quality_verdicts(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation rendered for each participant; masks as text, start-end in characters."""
+    found = rotate_perspectives(table(spark, sf_dir, "conversations"))
+    ranges = F.transform("mask", lambda x: F.concat_ws("-", x["start"].cast("string"), x["end"].cast("string")))
+    masked = F.aggregate("mask", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return found.select(
+        "conv_id",
+        "perspective",
+        "segment",
+        F.size("messages").cast("long").alias("n_messages"),
+        "text",
+        F.array_join(ranges, ",").alias("mask"),
+        masked.alias("n_masked"),
+    )
+
+
+@query
+def op6_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every whole text, learned from labelled rows that are not held out."""
+    docs, labels = (table(spark, sf_dir, x) for x in ("documents", "labels"))
+    found = quality_scores(docs, labels, ~held_out("label_id"))
+    good = (F.col("score") >= GOOD).cast("int")
+    return found.select("doc_id", held_out().alias("held_out"), "score", good.alias("predicted"))
+
+
+@query
+def op8_benchmark_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in windows of benchmark items."""
+    docs, items = (table(spark, sf_dir, x) for x in ("documents", "benchmark"))
+    return decontaminate(docs, items, window=ITEM_WINDOW).drop("spans")
+
+
 @query
 def op9_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken from every document so that sources come near weights 1, 2, 3, repeating."""
