@@ -120,7 +120,8 @@ def op10_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     path = f"{Staging(spark).path}/warc"
     write_warc(pages, path)
-    captures = resolve_revisits(assemble(read_warc(spark, path, payload=False)))
+    records = stage(read_warc(spark, path, payload=False), "records")  # each archive is walked once
+    captures = resolve_revisits(assemble(records))
     kind = pages.schema["page_id"].dataType
     revisit = F.col("type") == "revisit"
     return captures.select(

@@ -185,53 +185,54 @@ def write_warc(
 
 
 class Stream:
-    """Bytes of an archive, decompressed as they are asked for."""
+    """Bytes of an archive, decompressed as they are asked for. ``at`` is the place reached in
+    ``held``, the bytes at hand."""
 
     def __init__(self, data: memoryview):
-        self.data, self.at, self.rest = data, 0, b""
+        self.data, self.read, self.held, self.at = data, 0, b"", 0
         self.zip = zlib.decompressobj(31) if bytes(data[:2]) == b"\x1f\x8b" else None
 
     def more(self) -> bool:
-        while self.at < len(self.data):
-            piece = self.data[self.at : self.at + READ_BYTES]
+        """Have more bytes at hand, and drop those passed."""
+        while self.read < len(self.data):
+            piece = self.data[self.read : self.read + READ_BYTES]
             if self.zip is None:
-                self.at += len(piece)
-                self.rest += bytes(piece)
-                return True
-            got = self.zip.decompress(piece)
-            used = len(piece) - len(self.zip.unused_data)
-            self.at += used
-            if self.zip.eof:  # one member for each record is as good as one for all
-                self.zip = zlib.decompressobj(31)
-            self.rest += got
+                self.read += len(piece)
+                got = bytes(piece)
+            else:
+                got = self.zip.decompress(piece)
+                self.read += len(piece) - len(self.zip.unused_data)
+                if self.zip.eof:  # one member for each record is as good as one for all
+                    self.zip = zlib.decompressobj(31)
             if got:
+                self.held, self.at = self.held[self.at :] + got, 0
                 return True
         return False
 
-    def line_block(self) -> bytes | None:
+    def head(self) -> bytes | None:
         """Header lines up to an empty line; None at the end of the archive."""
         while True:
-            self.rest = self.rest.lstrip(b"\r\n") if self.rest[:1] in (b"\r", b"\n") else self.rest
-            end = self.rest.find(b"\r\n\r\n")
+            while self.held[self.at : self.at + 2] == b"\r\n":
+                self.at += 2
+            end = self.held.find(b"\r\n\r\n", self.at)
             if end >= 0:
-                head, self.rest = self.rest[:end], self.rest[end + 4 :]
+                head, self.at = self.held[self.at : end], end + 4
                 return head
             if not self.more():
-                if self.rest.strip():
+                if self.held[self.at :].strip():
                     raise ValueError("an archive ends inside a record header")
                 return None
 
     def take(self, n: int) -> bytes:
-        parts, have = [self.rest], len(self.rest)
+        parts, have = [], 0
         while have < n:
-            self.rest = b""
-            if not self.more():
+            part = self.held[self.at : self.at + n - have]
+            self.at += len(part)
+            have += len(part)
+            parts.append(part)
+            if have < n and not self.more():
                 raise ValueError("an archive ends inside a record")
-            parts.append(self.rest)
-            have += len(self.rest)
-        whole = b"".join(parts) if len(parts) > 1 else parts[0]
-        self.rest = whole[n:]
-        return whole[:n]
+        return parts[0] if len(parts) == 1 else b"".join(parts)
 
 
 def lines(block: bytes) -> list[tuple[str, str]]:
@@ -243,7 +244,7 @@ def lines(block: bytes) -> list[tuple[str, str]]:
 def parse(data: memoryview, with_payload: bool) -> Iterator[dict]:
     """The records of an archive."""
     stream = Stream(data)
-    while (head := stream.line_block()) is not None:
+    while (head := stream.head()) is not None:
         if not head.startswith(b"WARC/"):
             raise ValueError(f"no WARC record: {head[:40]!r}")
         pairs = lines(head.partition(b"\r\n")[2])
