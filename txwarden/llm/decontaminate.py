@@ -227,14 +227,15 @@ def decontaminate(
     size = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-2 * size // SHARD_BYTES))
     shard = F.pmod(F.xxhash64("id", "text"), F.lit(shards))
+    name = {k: "_text" if k == text_col else f"keep_{i}" for i, k in enumerate(keep)}
     texts = docs.select(
         F.col(quoted(id_col)).alias("id"),
         F.col(quoted(text_col)).cast("string").alias("_text"),
-        *map(quoted, keep),
+        *[F.col(quoted(k)).alias(n) for k, n in name.items() if n != "_text"],
     )
-    carried = list(keep)
+    carried = list(name.values())
     if shards > 1:
-        texts, carried = texts.withColumn("_key", F.xxhash64("_text")), [*keep, "_key"]
+        texts, carried = texts.withColumn("_key", F.xxhash64("_text")), [*carried, "_key"]
     found_type = T.StructType(
         [
             texts.schema["id"],
@@ -268,7 +269,7 @@ def decontaminate(
                     yield pa.RecordBatch.from_arrays(
                         [
                             part.column(0),
-                            *[part.column(k + 2) for k in range(len(carried))],
+                            *[part.column(part.schema.get_field_index(k)) for k in carried],
                             pa.array(np.diff(words.first), pa.int64()),
                             pa.array(hit),
                             pa.array(spans, ARROW_SPANS),
@@ -290,7 +291,7 @@ def decontaminate(
     ids = F.array_sort(F.array_distinct("items"))
     return found.select(
         F.col("id").alias(id_col),
-        *map(quoted, keep),
+        *[F.col(n).alias(k) for k, n in name.items()],
         "n_words",
         "n_hit",
         F.size("items").cast("long").alias("n_items"),

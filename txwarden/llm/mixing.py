@@ -75,8 +75,9 @@ def pareto_mix(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Per document: id, ``size``, ``source_size``, ``target``, ``copies`` and ``taken`` words.
+    """Per document: id, the columns of ``keep``, ``size``, ``source_size``, ``target``, ``copies`` and ``taken`` words.
 
     ``importance`` makes probabilities unequal within a source too: expected copies are
     multiplied by it (mean 1 by words is expected) and cut at ``max_copies``."""
@@ -88,6 +89,7 @@ def pareto_mix(
         word_count(text).alias("size"),
         uniform(F.lit(str(seed)), F.coalesce(name.cast("string"), F.md5(text))).alias("u"),
         (F.lit(1.0) if importance is None else importance.cast("double")).alias("importance"),
+        *[F.col(quoted(k)).alias(f"keep_{i}") for i, k in enumerate(keep)],
     )
     base = stage(base, "sizes")  # a few numbers a document; texts are read once
     rows = base.count()
@@ -105,7 +107,7 @@ def pareto_mix(
     d = d.withColumn("rank", F.when(F.col("p") > 0, F.col("u") / (1 - F.col("u")) / odds))
     place = F.floor(F.col("rank") / (1 + F.col("rank")) * buckets).cast("long")
     d = d.withColumn("bucket", F.least(place, F.lit(buckets - 1))).select(
-        "id", "source", "size", "source_size", "target", "whole", "p", "rank", "bucket"
+        "id", "source", "size", "source_size", "target", "whole", "p", "rank", "bucket", *[f"keep_{i}" for i in range(len(keep))]
     )
 
     counts = (
@@ -140,6 +142,7 @@ def pareto_mix(
     copies = F.col("whole") + F.col("extra").cast("long")
     return out.select(
         F.col("id").alias(id_col),
+        *[F.col(f"keep_{i}").alias(k) for i, k in enumerate(keep)],
         "size",
         "source_size",
         "target",

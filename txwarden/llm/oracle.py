@@ -1,6 +1,32 @@
 """Expected results in SQL, for the queries that SQL can express."""
 
 ORACLES: dict[str, str] = {
+    "op1_suffix_levels": """
+WITH d AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, ''))::BIGINT AS n FROM documents),
+windows AS (
+    SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS w
+    FROM (SELECT doc_id, h, unnest(range(0, n - 49)) AS i FROM d WHERE n >= 50)),
+firsts AS (SELECT w, min(doc_id) AS first_id FROM windows GROUP BY w HAVING min(doc_id) < max(doc_id)),
+repeated AS (SELECT doc_id, i FROM windows JOIN firsts USING (w) WHERE first_id < doc_id),
+runs AS (  -- ranges of windows that follow each other by at most 50 bytes cover one range of bytes
+    SELECT doc_id, min(i) AS low, max(i) + 50 AS high
+    FROM (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run
+          FROM (SELECT doc_id, i,
+                       CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 50 THEN 0 ELSE 1 END AS fresh
+                FROM repeated))
+    GROUP BY doc_id, run),
+gaps AS (  -- what stays: before each run, and after the last one
+    SELECT doc_id, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) AS a, low AS b FROM runs
+    UNION ALL SELECT doc_id, max(high), max(n) FROM runs JOIN d USING (doc_id) GROUP BY doc_id),
+kept AS (
+    SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS h
+    FROM gaps JOIN d USING (doc_id) GROUP BY doc_id),
+sums AS (SELECT doc_id, sum(high - low) AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN sums USING (doc_id) LEFT JOIN kept USING (doc_id)
+""",
     "op4_perspectives": """
 WITH t AS (
     SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS content
@@ -27,6 +53,27 @@ SELECT conv_id, perspective, 0::BIGINT AS segment, count(*)::BIGINT AS n_message
                   ',' ORDER BY turn) AS mask,
        sum(CASE WHEN role = 'assistant' THEN size - length(head) ELSE 0 END)::BIGINT AS n_masked
 FROM w GROUP BY conv_id, perspective
+""",
+    "op5_prefix_groups": r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+    SELECT x, y FROM pairs JOIN sizes sx ON sx.doc_id = x JOIN sizes sy ON sy.doc_id = y
+    WHERE 100 * common >= 75 * (sx.n + sy.n - common)),
+reach AS (
+    SELECT doc_id, doc_id AS other FROM d
+    UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON r.other = l.x)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, min(other) AS component_id
+FROM d LEFT JOIN sizes USING (doc_id) JOIN reach USING (doc_id) GROUP BY d.doc_id, n
 """,
     "op8_benchmark_spans": r"""
 WITH d AS (

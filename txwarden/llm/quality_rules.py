@@ -172,9 +172,9 @@ def chi2_quantile(d: int, z: float) -> float:
     return d * (1 - 2 / (9 * d) + z * math.sqrt(2 / (9 * d))) ** 3
 
 
-def robust_distances(rows: DataFrame, *, steps: int, share: float, least_rows: int) -> DataFrame:
-    """Per row of ``rows`` (id, lang, source and the vector): ``d2`` under the estimate of its
-    group, scaled so that the median of a group is that of a chi-square variable."""
+def robust_estimates(rows: DataFrame, *, steps: int, share: float, least_rows: int) -> DataFrame:
+    """Per language and source of ``rows`` (lang, source and the vector): center, Cholesky factor
+    and ``scale``, which makes the median distance that of a chi-square variable."""
     names, d = list(VECTOR), len(VECTOR)
     keys = ["level", "lang", "source"]
     none = F.lit(None).cast("string")
@@ -235,9 +235,7 @@ def robust_distances(rows: DataFrame, *, steps: int, share: float, least_rows: i
     enough = lambda p: F.col(f"{p}.n") >= least_rows
     best = F.when(enough("p0"), F.col("p0")).when(enough("p1"), F.col("p1")).otherwise(F.col("p2"))
     chosen = wide.select(F.lit(0).alias("level"), "lang", "source", best.alias("p"))
-    chosen = stage(chosen.select("level", "lang", "source", "p.*"), "chosen")
-    out = with_distance(rows.withColumn("level", F.lit(0)), chosen, names, ["scale"])
-    return out.withColumn("d2", F.col("d2") / F.col("scale")).drop("level", "scale")
+    return stage(chosen.select("level", "lang", "source", "p.*"), "chosen")
 
 
 def quality_verdicts(
@@ -253,24 +251,34 @@ def quality_verdicts(
     share: float = 0.75,
     least_rows: int = 200,
     cutoff_z: float = CUTOFF_Z,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Per document: id, the five counts, ``base_failed``, ``d2`` and ``kept``. The estimate is
-    made from documents that pass the base rules, of all sources and languages."""
+    """Per document: id, the columns of ``keep``, the five counts, ``base_failed``, ``d2`` and
+    ``kept``. Estimates are made from documents that pass the base rules."""
     text = F.col(quoted(text_col))
     d = docs.select(
         F.col(quoted(id_col)).alias("id"),
         F.col(quoted(lang_col)).cast("string").alias("lang"),
         F.col(quoted(source_col)).cast("string").alias("source"),
         text.alias("text"),
+        *[F.col(quoted(k)).alias(f"keep_{i}") for i, k in enumerate(keep)],
     )
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     d = with_counts(d, F.col("text")).drop("text")
     d = stage(d.withColumn("base_failed", base_failed(least_words, repeat_percent)), "counts")
+    names = list(VECTOR)
     vectors = d.select("*", *[c.alias(name) for name, c in vector().items()])
     passed = vectors.filter(~F.col("base_failed"))
-    scored = robust_distances(passed, steps=steps, share=share, least_rows=least_rows)
+    model = robust_estimates(passed.select("lang", "source", *names), steps=steps, share=share, least_rows=least_rows)
+    scored = with_distance(passed.withColumn("level", F.lit(0)), model, names, ["scale"])
+    scored = scored.withColumn("d2", F.col("d2") / F.col("scale"))
     limit = chi2_quantile(len(VECTOR), cutoff_z)
-    columns = [F.col("id").alias(id_col), *counts, "base_failed"]
+    columns = [
+        F.col("id").alias(id_col),
+        *[F.col(f"keep_{i}").alias(k) for i, k in enumerate(keep)],
+        *counts,
+        "base_failed",
+    ]
     ok = scored.select(*columns, "d2", (F.col("d2") <= limit).alias("kept"))
     bad = d.filter("base_failed").select(*columns, F.lit(None).cast("double").alias("d2"), F.lit(False).alias("kept"))
     return ok.unionByName(bad)

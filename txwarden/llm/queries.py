@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txwarden.functions.staging import Staging, stage
 from txwarden.llm.decontaminate import decontaminate
+from txwarden.llm.jaccard_join import near_duplicate_components
 from txwarden.llm.language_id import identify
 from txwarden.llm.mixing import pareto_mix
 from txwarden.llm.perspectives import rotate_perspectives
@@ -24,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TOKENIZER = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
 REPEAT_BYTES = 50
+SHINGLE_WORDS, SIMILAR_PERCENT = 5, 75
 GOOD = 0.7
 ITEM_WINDOW = 13
 MIX_WEIGHTS, MIX_COPIES = (1, 2, 3), 3
@@ -89,6 +92,13 @@ def op4_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_prefix_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document under links of Jaccard similarity 0.75 or more."""
+    docs = table(spark, sf_dir, "documents")
+    return near_duplicate_components(docs, words=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
+
+
 @query
 def op6_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every whole text, learned from labelled rows that are not held out."""
@@ -132,3 +142,9 @@ def op10_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(revisit, F.col("origin_page")).cast(kind).alias("refers_to"),
         F.size("requests").alias("n_requests"),
     )
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five stages of the corpus pipeline."""
+    return corpus_pipeline.run(spark, sf_dir)

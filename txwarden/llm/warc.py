@@ -350,4 +350,7 @@ def resolve_revisits(transactions: DataFrame) -> DataFrame:
             F.max("response.payload_digest").alias("origin_digest"),
         )
     )
-    return t.join(origin, t["response.refers_to"] == F.col("origin"), "left").drop("origin")
+    # Only rows that refer to something are joined; the others would all meet at a null key.
+    refers = F.col("response.refers_to").isNotNull()
+    joined = t.filter(refers).join(origin, F.col("response.refers_to") == F.col("origin"), "left")
+    return joined.drop("origin").unionByName(t.filter(~refers), allowMissingColumns=True)
