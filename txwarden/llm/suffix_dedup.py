@@ -181,7 +181,8 @@ class Stretches:
         last = ok.copy()
         last[:-1] &= ~same
         low, high = np.flatnonzero(first), np.flatnonzero(last)
-        return low + base, high + base, seeds[place[low]], rolling.spans(low, high + length)
+        # Sampled hashes are small ones; mixed again they spread evenly over the buckets.
+        return low + base, high + base, mix(seeds[place[low]]), rolling.spans(low, high + length)
 
 
 def window_hashes(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
