@@ -85,8 +85,6 @@ class PrefixCounter:
             last = bool(self.end) and token.endswith(self.end)
             body = token[: -len(self.end)] if last else token
             (self.final if last else self.inner)[raw(body)] = number
-        if not self.end:
-            self.final = self.inner
         #: rank of the merge that joins two tokens, and how each token was joined
         self.rank: dict[tuple[int, int], int] = {}
         self.parts: dict[int, tuple[int, int, int]] = {}
@@ -95,6 +93,13 @@ class PrefixCounter:
             one, two, both = vocab[a], vocab[b], vocab[a + b]
             self.rank[one, two] = rank
             self.parts.setdefault(both, (one, two, rank))
+        # A token whose own bytes are encoded otherwise never ends a prefix.
+        valid = set(vocab.values()) - set(self.parts)
+        for token, (one, two, rank) in sorted(self.parts.items(), key=lambda x: x[1][2]):
+            if one in valid and two in valid and self.side_by_side(one, two, rank):
+                valid.add(token)
+        self.inner = {b: t for b, t in self.inner.items() if t in valid}
+        self.final = {b: t for b, t in self.final.items() if t in valid} if self.end else self.inner
         self.longest = max(map(len, self.inner | self.final))
         self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         specials = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
@@ -102,15 +107,16 @@ class PrefixCounter:
         library = Tokenizer.from_file(path)
         self.normal, self.pre = library.normalizer, library.pre_tokenizer
         self.byte = byte
-        self.fits = Bounded(self._fits)
+        self.fits = Bounded(self._fits)  # two tokens, packed in one number
         self.words = Bounded(lambda word: self.prefixes(word)[-1])
         self.pieces = Bounded(self._piece)
 
     def _fits(self, pair: int) -> bool:
-        """Whether two tokens, packed in one number, may stand side by side: undoing their merges, latest first, no
-        pair across the border may have been mergeable before those merges."""
-        left, right = divmod(pair, WIDE)
-        before = len(self.rank)
+        return self.side_by_side(*divmod(pair, WIDE), len(self.rank))
+
+    def side_by_side(self, left: int, right: int, before: int) -> bool:
+        """Whether two tokens stay apart until merge number ``before``: undoing their merges,
+        latest first, no pair across the border may have been mergeable before those."""
         while True:
             if self.rank.get((left, right), before) < before:
                 return False
@@ -124,7 +130,7 @@ class PrefixCounter:
                 before, right = b[2] + 1, b[0]
 
     def prefixes(self, word: bytes) -> list[int]:
-        """Tokens of ``word[:j]`` for every j, each prefix being a word of its own."""
+        """Tokens of ``word[:j]`` for every j from 0, each prefix being a word of its own."""
         inner, final, fits = self.inner, self.final, self.fits
         last, count, out = [-1], [0], [0]
         for j in range(1, len(word) + 1):
