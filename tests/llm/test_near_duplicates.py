@@ -64,9 +64,9 @@ def families(seed, originals, copies, edits):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("short, batch, bucket", [(32, 4 << 20, 1 << 20), (2, 5000, 1000)])
-def test_components_equal_brute_force(spark, monkeypatch, short, batch, bucket):
-    monkeypatch.setattr(jaccard_join, "SHORT_LIST", short)
+@pytest.mark.parametrize("block, batch, bucket", [(1 << 21, 4 << 20, 1 << 20), (300, 5000, 1000)])
+def test_components_equal_brute_force(spark, monkeypatch, block, batch, bucket):
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", block)
     monkeypatch.setattr(jaccard_join, "BATCH_BYTES", batch)
     monkeypatch.setattr(jaccard_join, "BUCKET_SHINGLES", bucket)
     rows = families(1, 25, 12, 4) + [(1000 + i, t) for i, t in families(2, 2, 60, 2)]

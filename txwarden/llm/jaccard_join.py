@@ -14,12 +14,14 @@ shingle among the first ``n - ceil(percent n) + 1``, their prefixes. The steps:
 3. Groups that pass the size and position filters in a list are expanded to their nodes and
    verified on whole sets. A list does not emit all its pairs: its node with the fewest shingles
    of its own, as a rule the original of a family of copies, is compared with all others, and
-   what those links connect needs no further comparison. Lists whose nodes are still in several
-   components go on with the next node, short ones with all pairs left, until no pair is open.
+   what those links connect needs no further comparison. Lists whose nodes are then still in
+   several components make up families, in which the nodes outside the largest component are
+   compared with the rest, block by block.
 
 Links are exact up to collisions of 64-bit shingle hashes within one pair. Nothing is dropped
 however frequent a shingle or large a family is: a frequent shingle is one entry for each batch,
-a list is only joined and aggregated, never gathered.
+a list is only joined and aggregated, never gathered. What a family costs is its unlinked
+members times its size, in tasks of bounded size.
 
 Defined cases: null, empty and blank texts have no shingles, link with nothing and are their own
 component; a text of fewer words than a shingle is one shingle; repeated rows share a
@@ -43,15 +45,15 @@ from txwarden.functions.shipping import ship_package
 from txwarden.functions.staging import quoted, stage
 from txwarden.llm.bytes_np import Words, byte_classes, grams, offsets_of, tiles, utf8
 from txwarden.llm.components import connected_labels
-from txwarden.llm.suffix_dedup import group_starts, pack, unpack
+from txwarden.llm.suffix_dedup import group_starts, pack, spread, unpack
 
 #: Bytes of text in a batch and shingles in a bucket, small and large tables.
 BATCH_BYTES, MOST_BATCH_BYTES = 4 << 20, 64 << 20
 BUCKET_SHINGLES, MOST_BUCKET_SHINGLES = 1 << 20, 1 << 24
 #: Batches or buckets beyond which they grow before they become more.
 MANY = 512
-#: A list of at most so many nodes has its open pairs compared at once.
-SHORT_LIST = 32
+#: Shingles of the nodes that one task compares with those of as many others.
+BLOCK_SHINGLES = 1 << 21
 
 CLASSES = byte_classes(bytes([0x20, *range(0x09, 0x0E)]))
 
@@ -202,7 +204,7 @@ def prefix_lists(nodes: DataFrame, percent: int) -> DataFrame:
 
 def open_lists(rows: DataFrame, percent: int) -> DataFrame:
     """Rows of lists that still join several components, without nodes that the size and position
-    filters keep from every other node of the list. Adds ``rows``, the length of the list."""
+    filters keep from every other node of the list."""
     facts = rows.groupBy("list").agg(
         F.min("label").alias("least"), F.max("label").alias("most"), F.min("n").alias("smallest")
     ).filter("least != most")
@@ -210,8 +212,8 @@ def open_lists(rows: DataFrame, percent: int) -> DataFrame:
     # The overlap is at most n - at, and links need percent / (100 + percent) of both sizes.
     fits = (100 + percent) * (F.col("n") - F.col("at")) >= percent * (F.col("n") + F.col("smallest"))
     r = r.filter(fits).drop("smallest")
-    sizes = r.groupBy("list").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
-    return r.join(sizes, "list")
+    longer = r.groupBy("list").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    return r.join(longer.select("list"), "list")
 
 
 def pairs_to_verify(one: DataFrame, two: DataFrame, percent: int) -> DataFrame:
@@ -235,6 +237,71 @@ def verified(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return p.filter(similar).select("a", "b")
 
 
+def family_links(rows: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Links that join components which still share a list. Lists that have a component in common are
+    one family; a node goes to its family once, not once for each list. In a family the nodes
+    outside its largest component are compared with all nodes of other components, in blocks
+    of bounded size, by counting along an index of shingles. A task returns links that join
+    components, at most as many as it has nodes, not the pairs it looks at."""
+    least = rows.groupBy("list").agg(F.min("node").alias("a"))
+    same = rows.join(least, "list").select("a", F.col("node").alias("b")).filter("a != b").distinct()
+    family = connected_labels(labels, same).withColumnRenamed("label", "family")
+    live = rows.select("node").distinct().join(labels, "node").join(family, "node")
+    live = stage(live.join(nodes.select("node", "n"), "node"), "families")
+    parts = live.groupBy("family", "label").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"))
+    facts = parts.groupBy("family").agg(
+        F.max(F.struct("k", "label"))["label"].alias("main"),
+        F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("right_blocks"),
+        F.sum("n").alias("all_n"),
+        F.max(F.struct("k", "n"))["n"].alias("main_n"),
+    )
+    facts = facts.withColumn("left_blocks", F.greatest(F.ceil((F.col("all_n") - F.col("main_n")) / BLOCK_SHINGLES), F.lit(1)))
+    live = live.join(facts.select("family", "main", "left_blocks", "right_blocks"), "family")
+    block = lambda k: F.pmod(F.xxhash64("node"), F.col(k))
+    every = lambda k: F.explode(F.sequence(F.lit(0).cast("long"), F.col(k) - 1))
+    left = live.filter("label != main").select("family", "node", "label", F.lit(0).alias("side"), block("left_blocks").alias("x"), every("right_blocks").alias("y"))
+    right = live.select("family", "node", "label", F.lit(1).alias("side"), every("left_blocks").alias("x"), block("right_blocks").alias("y"))
+    sent = left.unionByName(right).join(nodes.select("node", "tokens"), "node")
+
+    def compare(table: pa.Table) -> pa.Table:
+        side = table.column("side").to_numpy()
+        order = np.argsort(side, kind="stable")
+        table = table.take(pa.array(order))
+        lists = table.column("tokens").combine_chunks()
+        tokens, ends = lists.flatten().to_numpy(), offsets_of(lists.value_lengths().to_numpy())
+        node, label = table.column("node").to_pylist(), table.column("label").to_pylist()
+        size, border = np.diff(ends), int((side == 0).sum())
+        # An index of the right side: by shingle, the nodes that have it.
+        low = ends[border]
+        owner = np.repeat(np.arange(len(node) - border), size[border:])
+        by = np.argsort(tokens[low:], kind="stable")
+        known, owner = tokens[low:][by], owner[by]
+        parent = {x: x for x in label}
+
+        def root(x: bytes) -> bytes:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        links = []
+        for i in range(border):
+            mine = tokens[ends[i] : ends[i + 1]]
+            a, b = np.searchsorted(known, mine, "left"), np.searchsorted(known, mine, "right")
+            hit = b > a
+            at, _ = spread(a[hit], b[hit] - 1)
+            both = np.bincount(owner[at], minlength=len(node) - border)
+            near = 100 * both >= percent * (size[i] + size[border:] - both)
+            for j in np.flatnonzero(near) + border:
+                x, y = root(label[i]), root(label[j])
+                if x != y:
+                    parent[x] = y
+                    links.append({"a": node[i], "b": node[j]})
+        return pa.Table.from_pylist(links, pa.schema([("a", pa.binary()), ("b", pa.binary())]))
+
+    return stage(sent.groupBy("family", "x", "y").applyInArrow(compare, "a binary, b binary"), "links")
+
+
 def near_duplicate_components(
     docs: DataFrame,
     *,
@@ -262,21 +329,17 @@ def near_duplicate_components(
         "nodes",
     )
     labels = nodes.select("node", F.col("node").alias("label"))
-    rows, again = stage(prefix_lists(nodes, percent), "lists"), False
-    while True:
-        rows = stage(open_lists(rows.join(labels, "node"), percent), "open")
-        if rows.isEmpty():
-            break
-        short, rows = rows.filter(F.col("rows") <= SHORT_LIST), rows.filter((F.col("rows") > SHORT_LIST) | F.lit(not again))
-        first = rows.groupBy("list").agg(F.min(F.struct("own", "node", "n", "at", "label", "rows")).alias("p")).select("list", "p.*")
-        first = stage(first, "pivots")
-        pairs = pairs_to_verify(first, rows, percent)
-        if again:
-            pairs = pairs.union(pairs_to_verify(short, short, percent)).distinct()
-        labels = connected_labels(labels, verified(pairs, nodes, percent))
-        # The node compared with all others of its list is done there.
-        rows = rows.join(first.select("list", "node"), ["list", "node"], "left_anti").drop("label", "rows")
-        again = True
+    rows = stage(prefix_lists(nodes, percent), "lists")
+    rows = stage(open_lists(rows.join(labels, "node"), percent), "open")
+    if not rows.isEmpty():
+        # The node with the fewest shingles of its own stands for its list at first.
+        own = F.min(F.struct("own", "node", "n", "at", "label"))
+        first = stage(rows.groupBy("list").agg(own.alias("p")).select("list", "p.*"), "pivots")
+        links = verified(pairs_to_verify(first, rows, percent), nodes, percent)
+        labels = connected_labels(labels, links)
+        rows = stage(open_lists(rows.drop("label").join(labels, "node"), percent), "open")
+        if not rows.isEmpty():
+            labels = connected_labels(labels, family_links(rows, labels, nodes, percent))
     found = labels.join(nodes.select("node", "id"), "node")
     smallest = found.groupBy("label").agg(F.min("id").alias("component_id"))
     of_node = found.join(smallest, "label").select("node", "component_id")
