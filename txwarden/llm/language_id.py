@@ -35,6 +35,8 @@ from txwarden.llm.bytes_np import TILE, slices
 
 #: Rows of all languages together that training reads at most, on average.
 MOST_ROWS = 200_000
+#: Numbers in the largest array of bits by byte and language.
+CELLS = 1 << 22
 #: What stands before the first byte of a text.
 START = 0x0A
 UNDETERMINED = "und"
@@ -64,6 +66,8 @@ class ContextTrees:
 
     def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]], order: int):
         self.langs, self.order = sorted(counts), order
+        #: bytes handled at once, so that their bits under all languages fit in memory
+        self.tile = min(TILE, max(1 << 12, CELLS // len(counts)))
         levels: list[list[tuple[np.ndarray, np.ndarray]]] = []
         for lang in self.langs:
             grams, n = counts[lang]
@@ -126,9 +130,9 @@ class ContextTrees:
         """Bits of each text under each language."""
         total = np.zeros((len(offsets) - 1, len(self.langs)))
         if len(offsets) == 2:  # one text, maybe a very long one: in pieces
-            for low in range(0, len(data), TILE):
+            for low in range(0, len(data), self.tile):
                 begin = max(0, low - self.order)
-                piece = data[begin : low + TILE]
+                piece = data[begin : low + self.tile]
                 codes = gram_codes(piece, np.array([0, len(piece)]), self.order)[low - begin :]
                 total[0] += self._sum(codes, np.array([0, len(codes)]))[0]
             return total
@@ -221,7 +225,7 @@ def identify(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = held.value
         for batch in batches:
-            for i, j, data, offsets in slices(batch, 1):
+            for i, j, data, offsets in slices(batch, 1, trees.tile if trees else TILE):
                 ids = batch.column(0).slice(i, j - i)
                 sizes = np.diff(offsets)
                 lettered = np.zeros(j - i, bool)
