@@ -188,6 +188,8 @@ def train(docs: DataFrame, learn: Column, *, order: int, sample_rows: int, id_co
     langs = sizes.count()
     wanted = min(sample_rows, MOST_ROWS // max(langs, 1))
     u = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
+    if langs <= MOST_ROWS:  # a name and a number each; joined by shuffle, a language is one task
+        sizes = F.broadcast(sizes)
     picked = rows.join(sizes, "lang").filter(u * F.col("count") < wanted)
     counts = count_grams(picked.select("lang", "text"), order).toArrow()  # bounded by the sample
     if not counts.num_rows:

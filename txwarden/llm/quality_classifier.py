@@ -1,7 +1,8 @@
 """Quality classifier on subword embeddings.
 
-Words and character n-grams of a text are hashed to rows of one embedding table; a document is
-the mean of its rows, and a softmax layer over that mean gives the probability of each label.
+Words and character n-grams of a text are hashed to rows of one embedding table, as is a mark
+for each word that repeats the one before it; a document is the mean of its rows, and a
+softmax layer over that mean gives the probability of each label.
 Table and layer are trained together by stochastic gradient descent in NumPy.
 
 Since mean and layer are linear, a row's part in the log-odds of label 1 is one number, worked
@@ -49,6 +50,11 @@ def features(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray
     """For each kind of feature: its table rows in order of texts, and each text's first."""
     words = Words(data, offsets, CLASSES)
     yield rows_of(words.hashes, 0), words.first
+    again = np.zeros(len(words.hashes), bool)
+    again[1:] = words.hashes[1:] == words.hashes[:-1]
+    again[words.first[:-1][np.diff(words.first) > 0]] = False
+    marks = np.concatenate([[0], np.cumsum(again)])
+    yield np.full(marks[-1], rows_of(np.ones(1, np.uint64), 1)[0]), marks[words.first]
     rolling = Rolling(BYTE_CODES[SPACED[data]])
     for n in NGRAMS:
         rows = rows_of(rolling.windows(n), n)
