@@ -42,10 +42,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txwarden.functions.shipping import ship_package
-from txwarden.functions.staging import quoted, stage
+from txwarden.functions.staging import quoted
 from txwarden.llm.bytes_np import Words, byte_classes, grams, offsets_of, tiles, utf8
 from txwarden.llm.components import connected_labels
 from txwarden.llm.suffix_dedup import group_starts, pack, spread, unpack
+from txwarden.llm.tables import settled
 
 #: Bytes of text in a batch and shingles in a bucket, small and large tables.
 BATCH_BYTES, MOST_BATCH_BYTES = 4 << 20, 64 << 20
@@ -180,11 +181,11 @@ def prefix_lists(nodes: DataFrame, percent: int) -> DataFrame:
     length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     p = nodes.select("node", "n", "own", F.slice("tokens", 1, length.cast("int")).alias("prefix"))
     p = p.withColumn("g", F.struct(F.xxhash64("prefix", "n").alias("x"), F.hash("prefix").alias("y"), "n"))
-    groups = stage(
+    groups = settled(
         p.groupBy("g").agg(F.min("node").alias("gid"), F.count(F.lit(1)).alias("members"), F.first("prefix").alias("prefix")),
         "groups",
     )
-    members = stage(p.join(groups.select("g", "gid", "members"), "g").select("gid", "members", "node", "n", "own"), "members")
+    members = settled(p.join(groups.select("g", "gid", "members"), "g").select("gid", "members", "node", "n", "own"), "members")
     posted = groups.select("gid", F.col("g.n").alias("n"), F.posexplode("prefix").alias("at", "token"))
     # Shingles posted by the same groups give the same list; the first of them serves, since it
     # has the earliest places and hence the weakest position filter.
@@ -247,7 +248,7 @@ def family_links(rows: DataFrame, labels: DataFrame, nodes: DataFrame, percent:
     same = rows.join(least, "list").select("a", F.col("node").alias("b")).filter("a != b").distinct()
     family = connected_labels(labels, same).withColumnRenamed("label", "family")
     live = rows.select("node").distinct().join(labels, "node").join(family, "node")
-    live = stage(live.join(nodes.select("node", "n"), "node"), "families")
+    live = settled(live.join(nodes.select("node", "n"), "node"), "families")
     parts = live.groupBy("family", "label").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"))
     facts = parts.groupBy("family").agg(
         F.max(F.struct("k", "label"))["label"].alias("main"),
@@ -299,7 +300,7 @@ def family_links(rows: DataFrame, labels: DataFrame, nodes: DataFrame, percent:
                     links.append({"a": node[i], "b": node[j]})
         return pa.Table.from_pylist(links, pa.schema([("a", pa.binary()), ("b", pa.binary())]))
 
-    return stage(sent.groupBy("family", "x", "y").applyInArrow(compare, "a binary, b binary"), "links")
+    return settled(sent.groupBy("family", "x", "y").applyInArrow(compare, "a binary, b binary"), "links")
 
 
 def near_duplicate_components(
@@ -320,24 +321,24 @@ def near_duplicate_components(
         *[F.col(quoted(k)).alias(n) for k, n in name.items() if n != "text"],
     )
     kept = list(name.values())
-    sets = stage(shingle_sets(texts, words=words, percent=percent, carry=kept), "sets")
+    sets = settled(shingle_sets(texts, words=words, percent=percent, carry=kept), "sets")
     live = sets.filter("node is not null")
-    nodes = stage(
+    nodes = settled(
         live.groupBy("node").agg(
             F.min("id").alias("id"), F.first("n").alias("n"), F.first("own").alias("own"), F.first("tokens").alias("tokens")
         ),
         "nodes",
     )
     labels = nodes.select("node", F.col("node").alias("label"))
-    rows = stage(prefix_lists(nodes, percent), "lists")
-    rows = stage(open_lists(rows.join(labels, "node"), percent), "open")
+    rows = settled(prefix_lists(nodes, percent), "lists")
+    rows = settled(open_lists(rows.join(labels, "node"), percent), "open")
     if not rows.isEmpty():
         # The node with the fewest shingles of its own stands for its list at first.
         own = F.min(F.struct("own", "node", "n", "at", "label"))
-        first = stage(rows.groupBy("list").agg(own.alias("p")).select("list", "p.*"), "pivots")
+        first = settled(rows.groupBy("list").agg(own.alias("p")).select("list", "p.*"), "pivots")
         links = verified(pairs_to_verify(first, rows, percent), nodes, percent)
         labels = connected_labels(labels, links)
-        rows = stage(open_lists(rows.drop("label").join(labels, "node"), percent), "open")
+        rows = settled(open_lists(rows.drop("label").join(labels, "node"), percent), "open")
         if not rows.isEmpty():
             labels = connected_labels(labels, family_links(rows, labels, nodes, percent))
     found = labels.join(nodes.select("node", "id"), "node")

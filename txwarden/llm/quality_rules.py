@@ -141,11 +141,11 @@ def with_factor(groups: DataFrame, names: list[str]) -> DataFrame:
     return groups.select("level", "lang", "source", "n", *kept)
 
 
-def with_distance(rows: DataFrame, groups: DataFrame, names: list[str], extra: Sequence[str] = ("g_n",)) -> DataFrame:
+def with_distance(rows: DataFrame, groups: DataFrame, names: list[str], extra: Sequence[str] = ("g_n",), how: str = "inner") -> DataFrame:
     """Adds ``d2``, the squared Mahalanobis distance, by forward substitution."""
     g = groups.withColumnsRenamed({"level": "g_level", "lang": "g_lang", "source": "g_source", "n": "g_n"})
     on = [F.col(k).eqNullSafe(F.col(f"g_{k}")) for k in ("level", "lang", "source")]
-    out = rows.join(g, on)
+    out = rows.join(g, on, how)
     y: list[Column] = []
     for i, name in enumerate(names):
         rest = sum((F.col(f"l_{i}_{k}") * F.col(f"y_{k}") for k in range(i)), F.lit(0.0))
@@ -255,31 +255,35 @@ def quality_verdicts(
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """Per document: id, the columns of ``keep``, the five counts, ``base_failed``, ``d2`` and
-    ``kept``. Estimates are made from documents that pass the base rules."""
-    text = F.col(quoted(text_col))
+    ``kept``. Estimates are made from documents that pass the base rules. With ``keep`` the counts
+    are taken twice, for the estimates and with the other columns, rather than stored with them."""
+    kept = [f"keep_{i}" for i in range(len(keep))]
     d = docs.select(
         F.col(quoted(id_col)).alias("id"),
         F.col(quoted(lang_col)).cast("string").alias("lang"),
         F.col(quoted(source_col)).cast("string").alias("source"),
-        text.alias("text"),
-        *[F.col(quoted(k)).alias(f"keep_{i}") for i, k in enumerate(keep)],
+        F.col(quoted(text_col)).alias("text"),
+        *[F.col(quoted(k)).alias(c) for k, c in zip(keep, kept, strict=True)],
     )
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     d = with_counts(d, F.col("text")).drop("text")
-    d = stage(d.withColumn("base_failed", base_failed(least_words, repeat_percent)), "counts")
+    d = d.withColumn("base_failed", base_failed(least_words, repeat_percent))
+    slim = stage(d.drop(*kept), "counts")  # a few numbers a document; texts are not copied
+    if not keep:
+        d = slim
     names = list(VECTOR)
-    vectors = d.select("*", *[c.alias(name) for name, c in vector().items()])
-    passed = vectors.filter(~F.col("base_failed"))
-    model = robust_estimates(passed.select("lang", "source", *names), steps=steps, share=share, least_rows=least_rows)
-    scored = with_distance(passed.withColumn("level", F.lit(0)), model, names, ["scale"])
-    scored = scored.withColumn("d2", F.col("d2") / F.col("scale"))
+    with_vector = lambda t: t.select("*", *[c.alias(name) for name, c in vector().items()])
+    sample = with_vector(slim.filter(~F.col("base_failed"))).select("lang", "source", *names)
+    model = robust_estimates(sample, steps=steps, share=share, least_rows=least_rows)
+    # Left: a language and source of which every document fails has no estimate.
+    scored = with_distance(with_vector(d).withColumn("level", F.lit(0)), model, names, ["scale"], "left")
+    distance = F.when(~F.col("base_failed"), F.col("d2") / F.col("scale"))
     limit = chi2_quantile(len(VECTOR), cutoff_z)
-    columns = [
+    return scored.select(
         F.col("id").alias(id_col),
-        *[F.col(f"keep_{i}").alias(k) for i, k in enumerate(keep)],
+        *[F.col(c).alias(k) for k, c in zip(keep, kept, strict=True)],
         *counts,
         "base_failed",
-    ]
-    ok = scored.select(*columns, "d2", (F.col("d2") <= limit).alias("kept"))
-    bad = d.filter("base_failed").select(*columns, F.lit(None).cast("double").alias("d2"), F.lit(False).alias("kept"))
-    return ok.unionByName(bad)
+        distance.alias("d2"),
+        F.coalesce(distance <= limit, F.lit(False)).alias("kept"),
+    )
