@@ -306,6 +306,11 @@ VELOCITY_DAY = _count_over(
     "transaction_velocity",
 )
 
+# Bins of five hours, counted from the midnight before the first event.
+FIVE_HOURS = """SELECT eventId, count(*) OVER (PARTITION BY accountNumber, time_bucket(
+    INTERVAL 5 HOURS, transactionTime, (SELECT date_trunc('day', min(transactionTime)) FROM ev)
+        ::TIMESTAMP)) AS transaction_velocity FROM ev"""
+
 ORACLES: dict[str, str] = {
     "tx_scan": _with("SELECT * REPLACE (CAST(transactionTime AS VARCHAR) AS transactionTime) FROM tx"),
     "labels_scan": _with("SELECT eventId, CAST(reportedTime AS VARCHAR) AS reportedTime FROM reports"),
@@ -546,4 +551,46 @@ ORACLES: dict[str, str] = {
         ("transactionAmount", "availableCash", "reported_delay", "time_since_last_transaction"),
     ),
     "feature_correlations": _with(_correlations("features", FEATURE_COLUMNS), BASE_FEATURES),
+    "velocity_five_hours": _with(FIVE_HOURS),
+    "velocity_five_hours_hot": _with(FIVE_HOURS),
+    "time_since_last_hot": _with(
+        f"SELECT eventId, round({GAP}, 6) AS time_since_last_transaction FROM ev"
+    ),
+    "time_since_last_null_ids": _with(
+        f"""SELECT accountNumber, CAST(transactionTime AS VARCHAR) AS transactionTime,
+            round({GAP}, 6) AS time_since_last_transaction
+        FROM (SELECT * FROM ev UNION ALL SELECT * FROM ev WHERE eventId % 10 = 0)"""
+    ),
+    "key_frequency_hot": _with(
+        "SELECT eventId, "
+        + ", ".join(
+            _count_over(k, f"{k} IS NOT NULL", f"{k}_freq")
+            for k in ("accountNumber", "merchantId", "mcc")
+        )
+        + " FROM tx"
+    ),
+    "one_hot_numeric_mode": _with(
+        """SELECT eventId,
+            coalesce('pos_' || CAST(floor(transactionAmount * 2) / 2 AS VARCHAR), '') AS modes,
+            CAST((SELECT count(DISTINCT floor(transactionAmount * 2)) FROM ev) AS INTEGER) AS columns
+        FROM ev"""
+    ),
+    "csv_scan": _with(
+        """SELECT 'tx-' || eventId AS eventId, CAST(accountNumber AS VARCHAR) AS accountNumber,
+            CAST(merchantId AS VARCHAR) AS merchantId, mcc, merchantCountry, merchantZip,
+            posEntryMode, transactionAmount, availableCash,
+            strftime(transactionTime, '%Y-%m-%dT%H:%M:%S.%g') AS transactionTime FROM tx"""
+    ),
+    "full_run_csv": _with(
+        """SELECT CAST(m AS INTEGER) AS month,
+            CAST(count(*) FILTER (WHERE Fraud = 1) AS BIGINT) AS true_frauds,
+            round(coalesce(sum(transactionAmount) FILTER (WHERE Fraud = 1), 0), 2)
+                AS potential_amount_saved,
+            CAST(least(400, count(eventId)) AS BIGINT) AS flagged
+        FROM range(1, 13) AS months(m) LEFT JOIN labelled ON month(transactionTime) = m GROUP BY m"""
+    ),
+    "labels_csv_scan": _with(
+        """SELECT 'tx-' || eventId AS eventId,
+            strftime(reportedTime, '%Y-%m-%dT%H:%M:%S.%g') AS reportedTime FROM reports"""
+    ),
 }

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txwarden.config import BoostSettings, JobConfig
+from txwarden.config import JobConfig
+from txwarden.functions.skew import SkewSettings, profile_keys
 from txwarden.functions.staging import Staging, stage
 from txwarden.operators.averages import with_average_amounts
 from txwarden.operators.boosting import with_probability
@@ -39,28 +40,29 @@ from txwarden.operators.temporal import (
     with_weekday_columns,
 )
 from txwarden.operators.vectors import feature_columns, with_features
-from txwarden.operators.velocity import with_velocity
+from txwarden.operators.velocity import account_window_features, with_velocity
 from txwarden.plans.detection import (
     anomaly_review,
     detection_job,
     model_table,
-    month_slice,
-    train_month,
-    training_sets,
+    walk_forward,
 )
 from txwarden.plans.explore import correlated_columns
-from txwarden.plans.features import feature_table, raw_feature_columns
+from txwarden.plans.features import feature_table, raw_feature_nulls
 from txwarden.plans.full_run import run
-from txwarden.sources.files import read_features, read_results, write_features, write_results
+from txwarden.sources.files import (
+    read_features,
+    read_labels,
+    read_results,
+    read_transactions,
+    write_features,
+    write_results,
+)
 from txwarden.sources.orders_view import event_transactions, reports, transactions
 from txwarden.streaming.velocity import stream_velocity, write_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# A short training run; the settings of a real run are the defaults of JobConfig.
-SHORT = JobConfig(boost=BoostSettings(rounds=2, folds=2, depth=3, max_bins=32))
-
-
 def _r(name: str, digits: int = 6) -> Column:
     return F.round(name, digits).alias(name)
 
@@ -156,19 +158,18 @@ def drop_columns_query(spark, sf):
 
 def month_slices(spark, sf):
     """Rows and amount of each scored month and of the month it learns from."""
-    table = stage(with_date_parts(transactions(spark, sf)).select(
-        "eventId", "transactionAmount", "month"), "months", ("month",))
-    out = None
-    for month in range(2, 13):
-        for role, source in (("current", month), ("previous", month - 1)):
-            part = month_slice(table, source).agg(
-                F.lit(month).alias("scored_month"),
-                F.lit(role).alias("role"),
-                F.count(F.lit(1)).alias("rows"),
-                F.round(F.sum("transactionAmount"), 2).alias("amount"),
-            )
-            out = part if out is None else out.unionByName(part)
-    return out
+    sums = with_date_parts(transactions(spark, sf)).groupBy("month").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("transactionAmount").alias("sum")
+    )
+    roles = (("current", 0), ("previous", 1))
+    pairs = [(m, role, m - back) for m in range(2, 13) for role, back in roles]
+    wanted = spark.createDataFrame(pairs, "scored_month int, role string, month int")
+    return wanted.join(sums, "month", "left").select(
+        "scored_month",
+        "role",
+        F.coalesce("n", F.lit(0)).alias("rows"),
+        F.round("sum", 2).alias("amount"),
+    )
 
 
 def key_frequency(spark, sf):
@@ -203,6 +204,76 @@ def velocity_six_hours(spark, sf):
     )
 
 
+def velocity_five_hours(spark, sf):
+    """Bins of which only the first starts at midnight."""
+    return with_velocity(event_transactions(spark, sf), "bin", hours=5).select(
+        "eventId", "transaction_velocity"
+    )
+
+
+# Every key above two rows is hot and nothing is broadcast: the paths of very large tables.
+ALL_HOT = SkewSettings(min_hot_rows=2, broadcast_keys=0)
+
+
+def velocity_five_hours_hot(spark, sf):
+    events = event_transactions(spark, sf)
+    (profile,) = profile_keys(events, ["accountNumber"], settings=ALL_HOT)
+    features = account_window_features(events, profile, hours=5, skew=ALL_HOT)
+    return features.select("eventId", "transaction_velocity")
+
+
+def time_since_last_hot(spark, sf):
+    return with_gap(event_transactions(spark, sf), skew=ALL_HOT).select(
+        "eventId", _r("time_since_last_transaction")
+    )
+
+
+def time_since_last_null_ids(spark, sf):
+    """Half of the ids null and a tenth of the rows twice: all gaps, by account and time."""
+    events = event_transactions(spark, sf)
+    twice = events.unionByName(events.where(F.col("eventId") % 10 == 0))
+    some = twice.withColumn("eventId", F.when(F.col("eventId") % 2 == 0, F.col("eventId")))
+    return with_gap(some, skew=ALL_HOT).select(
+        "accountNumber", _text("transactionTime"), _r("time_since_last_transaction")
+    )
+
+
+def key_frequency_hot(spark, sf):
+    return with_key_frequency(transactions(spark, sf), skew=ALL_HOT).select(
+        "eventId", "accountNumber_freq", "merchantId_freq", "mcc_freq"
+    )
+
+
+def one_hot_numeric_mode(spark, sf):
+    """Entry modes that are numbers with dots, more than 100 of them."""
+    events = event_transactions(spark, sf)
+    mode = F.floor(F.col("transactionAmount") * 2) / 2
+    coded = with_entry_mode_columns(events.withColumn("posEntryMode", mode))
+    coded = with_key_frequency(coded, ["accountNumber"])  # which has to keep such names
+    names = [c for c in coded.columns if c.startswith("pos_")]
+    ones = F.array(*[F.when(F.col(f"`{c}`") == 1, F.lit(c)) for c in names])
+    return coded.select(
+        "eventId", F.array_join(ones, ",").alias("modes"), F.lit(len(names)).alias("columns")
+    )
+
+
+def _as_csv(df: DataFrame, path: str) -> str:
+    """Written with other column order and one column more, as other programs leave files."""
+    columns = sorted(df.columns, key=lambda c: c[::-1])
+    df.select(*columns, F.lit("x").alias("note")).write.option("header", True).csv(path)
+    return path
+
+
+def csv_scan(spark, sf):
+    tx = transactions(spark, sf).withColumn("eventId", F.concat(F.lit("tx-"), "eventId"))
+    return read_transactions(spark, _as_csv(tx, f"{Staging(spark).path}/tx.csv"))
+
+
+def labels_csv_scan(spark, sf):
+    labels = reports(spark, sf).withColumn("eventId", F.concat(F.lit("tx-"), "eventId"))
+    return read_labels(spark, _as_csv(labels, f"{Staging(spark).path}/labels.csv"))
+
+
 def velocity_stream(spark, sf):
     """The event table read as a stream; windows the watermark has closed."""
     events = event_transactions(spark, sf, stream=True)
@@ -245,8 +316,7 @@ def time_since_last_events(spark, sf):
 
 
 def missing_report_query(spark, sf):
-    raw = raw_feature_columns(transactions(spark, sf), JobConfig())
-    return missing_report(raw).select("column", "total", _r("percent"))
+    return missing_report(raw_feature_nulls(transactions(spark, sf))).select("column", "total", _r("percent"))
 
 
 def dataset_profile_query(spark, sf):
@@ -519,22 +589,17 @@ def feature_correlations(spark, sf):
 
 
 def isolation_forest_scores(spark, sf):
-    table = with_features(
-        _dated(spark, sf), ["transactionAmount", "availableCash", "day", "weekday"]
-    ).select("eventId", "month", "features")
-    table = stage(table, "points", ("month",))
-    scored = stage(score_forest(table, stage(fit_forest(table))))
-    return with_decision(scored, 0.1)
+    """Forests of every month on its whole feature matrix."""
+    table = model_table(_features(spark, sf), JobConfig(), Staging(spark))
+    scored = stage(score_forest(table, stage(fit_forest(table, row_key="rowId"))))
+    return with_decision(scored, 0.1).select("eventId", "month", "anomaly", "decision")
 
 
 def boosted_probability(spark, sf):
-    """Probability of every row but the first month's, from one month's training."""
-    staging = Staging(spark)
-    table = model_table(_features(spark, sf), SHORT, staging)
-    train, held_out = training_sets(month_slice(table, 1), SHORT, staging)
-    model, _ = train_month(train, held_out, 1, None, SHORT)
-    rows = table.where(F.col("month") > 1)
-    return with_probability(rows, {m: model for m in range(2, 13)}, "month").select(
+    """Probability of every row by walk-forward training, null in the first month."""
+    staging, cfg = Staging(spark), JobConfig()
+    table = model_table(_features(spark, sf), cfg, staging)
+    return with_probability(table, walk_forward(table, cfg, staging), "month").select(
         "eventId", "month", "Fraud", "probability"
     )
 
@@ -545,7 +610,7 @@ def anomaly_flags(spark, sf):
 
 
 def monthly_detection(spark, sf):
-    return detection_job(_features(spark, sf), SHORT)["results"]
+    return detection_job(_features(spark, sf))["results"]
 
 
 def full_run(spark, sf):
@@ -559,11 +624,31 @@ def full_run(spark, sf):
         labels=paths["labels"],
         features_out=paths["features"],
         results_out=paths["results"],
-        boost=SHORT.boost,
     )
     return run(spark, cfg)["detected"]
 
 
+def full_run_csv(spark, sf):
+    """The whole run from CSV files to CSV results, as the settings file has them: per month what
+    does not depend on the models, and the rows flagged."""
+    base = Staging(spark).path
+    files = {n: f"{base}/{n}.csv" for n in ("tx", "labels", "features", "results", "list")}
+    _as_csv(transactions(spark, sf), files["tx"])
+    _as_csv(reports(spark, sf), files["labels"])
+    cfg = JobConfig(
+        transactions=files["tx"],
+        labels=files["labels"],
+        features_out=files["features"],
+        results_out=files["results"],
+        flagged_out=files["list"],
+    )
+    tables = run(spark, cfg)
+    flagged = tables["flagged"].groupBy("month").agg(F.count(F.lit(1)).alias("flagged"))
+    return tables["results"].join(flagged, "month", "left").select(
+        "month", "true_frauds", _r("potential_amount_saved", 2), F.coalesce("flagged", F.lit(0)).alias("flagged")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "tx_scan": tx_scan,
     "labels_scan": labels_scan,
@@ -584,6 +669,14 @@ QUERIES: dict[str, Query] = {
     "velocity_literal": velocity_literal,
     "velocity_trailing": velocity_trailing,
     "velocity_stream": velocity_stream,
+    "velocity_five_hours": velocity_five_hours,
+    "velocity_five_hours_hot": velocity_five_hours_hot,
+    "time_since_last_hot": time_since_last_hot,
+    "time_since_last_null_ids": time_since_last_null_ids,
+    "key_frequency_hot": key_frequency_hot,
+    "one_hot_numeric_mode": one_hot_numeric_mode,
+    "csv_scan": csv_scan,
+    "labels_csv_scan": labels_csv_scan,
     "merchant_category_frequency": merchant_category_frequency,
     "avg_amount_country_hour": avg_amount_country_hour,
     "avg_amount_hour_events": avg_amount_hour_events,
@@ -623,4 +716,5 @@ QUERIES: dict[str, Query] = {
     "boosted_probability": boosted_probability,
     "monthly_detection": monthly_detection,
     "full_run": full_run,
+    "full_run_csv": full_run_csv,
 }

@@ -45,6 +45,9 @@ class BoostSettings:
     l2: float = 1.0
     min_child_weight: float = 1.0
     max_bins: int = 256
+    # Training sets of up to so many rows are trained in one task each, larger ones over all
+    # executors. All rows count either way.
+    task_rows: int = 100_000
 
 
 @dataclass(frozen=True)
@@ -53,6 +56,7 @@ class JobConfig:
     labels: str | None = None
     features_out: str | None = None
     results_out: str | None = None
+    flagged_out: str | None = None
     scaled_columns: tuple[str, ...] = SCALED_COLUMNS
     dropped_columns: tuple[str, ...] = DROPPED_COLUMNS
     review_budget: int = 400
@@ -77,6 +81,7 @@ class JobConfig:
             labels=paths.get("labels_file"),
             features_out=outputs.get("preprocessed_data_file"),
             results_out=outputs.get("fraud_detection_results_file"),
+            flagged_out=outputs.get("flagged_transactions_file"),
         )
         return replace(
             base,

@@ -15,6 +15,19 @@ def shuffle_key(key: str, seed: int) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")))
 
 
+def with_row_id(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Text that tells every row apart: the key where it is known and unique, otherwise the key
+    and a number, which holds once the result is stored. Only keys are counted, and the few
+    repeated ones are looked up."""
+    again = df.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    again = again.where((F.col("_n") > 1) | F.col("_k").isNull()).select("_k", F.lit(1).alias("_again"))
+    text = F.coalesce(F.col(key).cast("string"), F.lit("null"))
+    number = F.monotonically_increasing_id().cast("string")
+    marked = df.join(again, F.col(key).eqNullSafe(F.col("_k")), "left")
+    apart = F.when(F.col("_again").isNull(), text).otherwise(F.concat(text, F.lit("#"), number))
+    return marked.withColumn(name, apart).drop("_k", "_again")
+
+
 def hashed_rank(
     df: DataFrame, by: Sequence[str], key: str, seed: int, name: str, digits: int = 3
 ) -> DataFrame:

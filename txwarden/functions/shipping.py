@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import shutil
 import tempfile
 from pathlib import Path
@@ -20,6 +21,7 @@ def ship_package(spark: SparkSession) -> None:
     root = Path(__file__).resolve().parents[1]
     if root.is_dir():  # already a zip otherwise: the job was submitted with it
         folder = tempfile.mkdtemp(prefix="txwarden-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         archive = shutil.make_archive(
             f"{folder}/{root.name}", "zip", root_dir=root.parent, base_dir=root.name
         )

@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class SkewSettings:
-    """A key is hot above max(``min_hot_rows``, rows / ``max_hot_keys``) rows, so there are
-    never more than ``max_hot_keys`` of them."""
+    """A key is hot above ``min_hot_rows`` rows, what one task can sort, however large the
+    table is. At most the ``max_hot_keys`` heaviest are told apart."""
 
     min_hot_rows: int = 1_000_000
-    max_hot_keys: int = 10_000
-    sketch_items: int = 100_000
+    max_hot_keys: int = 50_000
+    sketch_items: int = 500_000
     broadcast_keys: int = 1_000_000
 
 
@@ -78,7 +78,7 @@ def profile_keys(
         ]
     found = df.agg(*aggregates).first()
     rows = found["rows"]
-    limit = max(settings.min_hot_rows, rows // settings.max_hot_keys)
+    limit = settings.min_hot_rows
     profiles = []
     for i, keys in enumerate(key_sets):
         heavy = [(t["item"], t["count"]) for t in found[f"t{i}"] or () if t["item"] is not None]

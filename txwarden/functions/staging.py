@@ -47,8 +47,10 @@ class Staging:
     def _close_at_exit(self) -> None:
         try:
             self.close()
-        except Exception:  # the session may be gone; the folder is scratch space anyway
-            pass
+        except Exception:  # the session is gone; a local folder can go without it
+            scheme, _, path = self.path.rpartition(":")
+            if scheme in ("", "file"):
+                shutil.rmtree(path, ignore_errors=True)
 
     def __enter__(self) -> "Staging":
         return self

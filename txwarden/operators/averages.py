@@ -14,6 +14,7 @@ from txwarden.functions.skew import (
     attach,
     profile_keys,
 )
+from txwarden.functions.staging import quoted
 
 # Key column and the name of its mean.
 AVERAGED_KEYS = {
@@ -37,4 +38,4 @@ def with_average_amounts(
     for (key, name), profile in zip(keys.items(), profiles):
         means = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.avg(amount).alias(name))
         out = attach(out, means, profile, [row_key])
-    return out.select(*df.columns, *keys.values())
+    return out.select(*map(quoted, df.columns), *map(quoted, keys.values()))

@@ -14,6 +14,7 @@ from txwarden.functions.skew import (
     count_per_key,
     profile_keys,
 )
+from txwarden.functions.staging import quoted
 
 FREQUENCY_KEYS = ("accountNumber", "merchantId", "mcc")
 
@@ -35,7 +36,7 @@ def with_key_frequency(
     out = df
     for key, profile in zip(keys, profiles):
         out = attach(out, count_per_key(counted, [key], f"{key}_freq"), profile, [row_key])
-    return out.select(*df.columns, *[f"{k}_freq" for k in keys])
+    return out.select(*map(quoted, df.columns), *[quoted(f"{k}_freq") for k in keys])
 
 
 def with_pair_frequency(
@@ -48,4 +49,4 @@ def with_pair_frequency(
     """Rows sharing both keys; null when either is null."""
     (profile,) = profile_keys(df, keys, settings=skew)
     out = attach(df, count_per_key(df, keys, name), profile, [row_key])
-    return out.select(*df.columns, name)
+    return out.select(*map(quoted, df.columns), quoted(name))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txwarden.functions.skew import DEFAULT_SKEW, SkewSettings, profile_keys
+from txwarden.functions.staging import stage
 from txwarden.operators.temporal import micros_between
 from txwarden.operators.velocity import MINUTE_MICROS, clock_micros
 
@@ -24,7 +25,8 @@ def with_gap(
     skew: SkewSettings = DEFAULT_SKEW,
 ) -> DataFrame:
     """time_since_last_transaction in seconds; null on an account's first row and for a
-    missing account. ``row_key`` must be unique."""
+    missing account. Of rows with the same account and time the first by ``row_key``, null
+    first, has the gap and the others 0; the key need not be unique."""
     name = "time_since_last_transaction"
     (profile,) = profile_keys(df, [account], settings=skew)
     out = df.where(~profile.has_null & ~profile.is_hot).withColumn(
@@ -41,12 +43,14 @@ def with_gap(
 def _hot_gaps(df: DataFrame, account: str, time: str, row_key: str, name: str) -> DataFrame:
     """Among rows of one account and time only the first can have a gap other than 0, so
     the work shrinks to distinct times, cut by minute: inside a minute a window looks back,
-    and a minute's first time takes the last one of the minute before."""
+    and a minute's first time takes the last one of the minute before. The rows are staged
+    with a number of their own, so that null or repeated keys cannot match another row."""
+    df = stage(df.withColumn("_row", F.monotonically_increasing_id()), "hot")
     moments = (
         df.where(F.col(time).isNotNull())
         .withColumn("_us", clock_micros(time))
         .groupBy(account, "_us")
-        .agg(F.min(row_key).alias("_first"))
+        .agg(F.min(F.struct(row_key, "_row"))["_row"].alias("_first"))
         .withColumn("_m", F.floor(F.col("_us") / MINUTE_MICROS))
     )
     minutes = moments.groupBy(account, "_m").agg(F.max("_us").alias("_last"))
@@ -63,7 +67,7 @@ def _hot_gaps(df: DataFrame, account: str, time: str, row_key: str, name: str) -
     )
     later = F.when(F.col(time).isNotNull(), F.lit(0.0))
     return (
-        df.join(gaps, F.col(row_key) == F.col("_first"), "left")
+        df.join(gaps, F.col("_row") == F.col("_first"), "left")
         .withColumn(name, F.when(F.col("_first").isNotNull(), F.col("_gap")).otherwise(later))
-        .drop("_first", "_gap")
+        .drop("_first", "_gap", "_row")
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txwarden.functions.skew import DEFAULT_SKEW, SkewSettings, profile_keys
+from txwarden.functions.staging import quoted
 from txwarden.operators.temporal import micros_between
 
 
@@ -33,14 +34,14 @@ def join_labels(
         raise ValueError(f"unknown dedupe {dedupe!r}")
     if right.count() <= skew.broadcast_keys:
         same = F.col(key).eqNullSafe(F.col("_k"))
-        return tx.join(F.broadcast(right), same, "left").select(*tx.columns, "reportedTime")
+        return tx.join(F.broadcast(right), same, "left").select(*map(quoted, tx.columns), "reportedTime")
     (profile,) = profile_keys(right.withColumnRenamed("_k", key), [key], settings=skew)
     many = F.xxhash64("_k").isin(list(profile.hot)) & F.col("_k").isNotNull()
 
     left, plain = tx, right
     if profile.hot:
         left, plain = tx.where(~profile.is_hot), right.where(~many)
-    others = [c for c in tx.columns if c != key]
+    others = [quoted(c) for c in tx.columns if c != key]
     deal = F.pmod(F.xxhash64(*others), F.lit(null_salts)).cast("int")
     left = left.withColumn("_s", F.when(F.col(key).isNull(), deal).otherwise(F.lit(0)))
     same_salt = F.col("_s") == F.col("_rs")
@@ -52,7 +53,7 @@ def join_labels(
         # without null reports a plain equality gives the same rows
         plain = plain.withColumn("_rs", F.lit(0))
         out = left.join(plain, (F.col(key) == F.col("_k")) & same_salt, "left")
-    out = out.select(*tx.columns, "reportedTime")
+    out = out.select(*map(quoted, tx.columns), "reportedTime")
     if profile.hot:
         salts = F.sequence(F.lit(0), F.lit(profile.salts - 1))
         repeated = tx.where(profile.is_hot).withColumn("_s", F.explode(salts))
@@ -60,7 +61,7 @@ def join_labels(
             "_rs", F.pmod(F.monotonically_increasing_id(), F.lit(profile.salts)).cast("int")
         )
         hot = repeated.join(dealt, (F.col(key) == F.col("_k")) & (F.col("_s") == F.col("_rs")))
-        out = out.unionByName(hot.select(*tx.columns, "reportedTime"))
+        out = out.unionByName(hot.select(*map(quoted, tx.columns), "reportedTime"))
     return out
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txwarden.functions.quantiles import SMALL_ROWS, group_quantiles
+from txwarden.functions.staging import quoted
 from txwarden.schema import require_columns
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -24,7 +25,7 @@ class RobustScale:
         """(x - median) / range; nulls stay null and a range of 0 divides by 1."""
         return df.withColumns(
             {
-                name: (F.col(name) - F.lit(median)) / F.lit(spread if spread else 1.0)
+                name: (F.col(quoted(name)) - F.lit(median)) / F.lit(spread if spread else 1.0)
                 for name, (median, spread) in self.parameters.items()
             }
         )
@@ -34,7 +35,7 @@ def melt(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataF
     """(``by``, column, value) with one row per non-null cell."""
     cells = F.array(
         *[
-            F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
+            F.struct(F.lit(c).alias("column"), F.col(quoted(c)).cast("double").alias("value"))
             for c in columns
         ]
     )

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txwarden.functions.staging import quoted
 from txwarden.schema import require_columns
 
 # First hour, first hour after the band.
@@ -54,11 +55,14 @@ def with_hour_bands(df: DataFrame, hour: str = "hour") -> DataFrame:
     )
 
 
-def observed_categories(df: DataFrame, column: str, max_categories: int = 100) -> list:
-    """Sorted distinct values; an error, not a cut, when there are more than expected."""
+def observed_categories(df: DataFrame, column: str, max_categories: int | None = None) -> list:
+    """Sorted distinct values, which become columns; with ``max_categories`` an error, not a
+    cut, when there are more than expected."""
     found = df.select(column).where(F.col(column).isNotNull()).distinct()
-    values = [row[0] for row in found.limit(max_categories + 1).collect()]
-    if len(values) > max_categories:
+    if max_categories is not None:
+        found = found.limit(max_categories + 1)
+    values = [row[0] for row in found.collect()]
+    if max_categories is not None and len(values) > max_categories:
         raise ValueError(f"{column} has more than {max_categories} categories")
     return sorted(values)
 
@@ -66,11 +70,14 @@ def observed_categories(df: DataFrame, column: str, max_categories: int = 100) -
 def one_hot(df: DataFrame, column: str, prefix: str, categories: Sequence) -> DataFrame:
     """0/1 column per category; a missing value is 0 in all of them."""
     require_columns(df, [column])
-    return df.withColumns(
-        {
-            f"{prefix}_{value}": F.coalesce(F.col(column) == F.lit(value), F.lit(False)).cast("int")
-            for value in categories
-        }
+    names = {value: f"{prefix}_{value}" for value in categories}
+    made = set(names.values())
+    return df.select(
+        *[quoted(c) for c in df.columns if c not in made],
+        *[
+            F.coalesce(F.col(column) == F.lit(value), F.lit(False)).cast("int").alias(name)
+            for value, name in names.items()
+        ],
     )
 
 
@@ -80,7 +87,7 @@ def with_weekday_columns(df: DataFrame, categories: Sequence[int] | None = None)
 
 
 def with_entry_mode_columns(
-    df: DataFrame, categories: Sequence[str] | None = None, max_categories: int = 100
+    df: DataFrame, categories: Sequence[str] | None = None, max_categories: int | None = None
 ) -> DataFrame:
     """pos_<value> per entry mode seen in the data, or per given category."""
     if categories is None:

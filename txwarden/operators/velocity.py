@@ -13,6 +13,7 @@ from txwarden.functions.skew import (
     count_per_key,
     profile_keys,
 )
+from txwarden.functions.staging import quoted
 from txwarden.operators.temporal import micros_between
 
 EPOCH = "1970-01-01 00:00:00"
@@ -47,26 +48,27 @@ def with_velocity(
     time: str = "transactionTime",
     row_key: str = "eventId",
     skew: SkewSettings = DEFAULT_SKEW,
+    origin: str | None = None,
 ) -> DataFrame:
     """transaction_velocity per account and window; null for a missing account or time.
 
     ``bin``: size of the row's own tumbling window. ``literal``: the same, but only on rows
     whose time is exactly the start of a window. ``trailing``: rows in the ``hours`` up to
-    and including the row's time.
+    and including the row's time. ``origin`` is where bins start, found in ``df`` by default.
     """
     name = "transaction_velocity"
     if mode == "trailing":
         return _trailing(df, hours, account, time, row_key, skew, name)
     if mode not in ("bin", "literal"):
         raise ValueError(f"unknown velocity mode {mode!r}")
-    origin = bin_origin(df, time, hours)
+    origin = origin or bin_origin(df, time, hours)
     binned = df.withColumn("_bin", bin_number(time, hours, origin))
     (profile,) = profile_keys(binned, [account, "_bin"], settings=skew)
     counts = count_per_key(binned, [account, "_bin"], name)
     out = attach(binned, counts, profile, [row_key])
     if mode == "literal":
         out = out.withColumn(name, F.when(starts_bin(time, hours, origin), F.col(name)))
-    return out.select(*df.columns, name)
+    return out.select(*map(quoted, df.columns), name)
 
 
 def starts_bin(time: str, hours: int, origin: str = EPOCH) -> Column:
@@ -89,7 +91,7 @@ def _trailing(df, hours, account, time, row_key, skew, name) -> DataFrame:
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out.select(*df.columns, name)
+    return out.select(*map(quoted, df.columns), name)
 
 
 def _trailing_hot(timed, width, account, row_key, skew, name) -> DataFrame:
@@ -162,7 +164,7 @@ def account_window_features(
         out = with_key_frequency(df, [account], row_key, skew, [profile])
         out = with_velocity(out, velocity_mode, hours, account, time, row_key, skew)
         out = with_pair_frequency(out, [account, category], names[2], row_key, skew)
-        return with_gap(out, account, time, row_key, skew).select(*df.columns, *names)
+        return with_gap(out, account, time, row_key, skew).select(*map(quoted, df.columns), *names)
 
     origin = bin_origin(df, time, hours)
     rows = F.count(F.lit(1))
@@ -191,7 +193,7 @@ def account_window_features(
     if profile.hot:
         hot = df.where(profile.is_hot)
         hot = with_key_frequency(hot, [account], row_key, skew)
-        hot = with_velocity(hot, velocity_mode, hours, account, time, row_key, skew)
+        hot = with_velocity(hot, velocity_mode, hours, account, time, row_key, skew, origin)
         hot = with_pair_frequency(hot, [account, category], names[2], row_key, skew)
         out = out.unionByName(with_gap(hot, account, time, row_key, skew))
     if profile.nulls:
@@ -200,4 +202,4 @@ def account_window_features(
             {name: F.lit(None).cast(types[name]) for name in names}
         )
         out = out.unionByName(unknown)
-    return out.select(*df.columns, *names)
+    return out.select(*map(quoted, df.columns), *names)

@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txwarden.config import JobConfig
+from txwarden.functions.ordering import with_row_id
 from txwarden.functions.staging import Staging
 from txwarden.functions.trees import score_by_key
 from txwarden.operators.boosting import (
     BoostedTrees,
+    first_margin,
     fit_boosted_trees,
+    fit_sets,
     sigmoid,
     with_probability,
 )
@@ -29,13 +32,16 @@ LAST_MONTH = 12
 
 
 def model_table(features: DataFrame, cfg: JobConfig, staging: Staging) -> DataFrame:
-    """(eventId, features, Fraud, amount) per month, staged in one folder per month so
-    that a month's slice is a pruned read."""
+    """(eventId, rowId, features, Fraud, amount) per month, staged in one folder per month so
+    that a month's slice is a pruned read. Events with several reports are several rows, which
+    ``rowId`` tells apart."""
     columns = feature_columns(features, cfg.leak_reported_delay)
     table = with_features(features, columns).select(
         "eventId", "features", "Fraud", "transactionAmount_original", "month"
     )
-    return staging.write(table.where(F.col("month").isNotNull()), "model", ("month",))
+    table = with_row_id(table.where(F.col("month").isNotNull()), "eventId", "rowId")
+    columns = ["eventId", "rowId", "features", "Fraud", "transactionAmount_original", "month"]
+    return staging.write(table.select(*columns), "model", ("month",))
 
 
 def month_slice(df: DataFrame, month: int) -> DataFrame:
@@ -51,7 +57,7 @@ def scored_rows(
     over the rows, so nothing is joined back, and stored, since the decision's quantile
     reads them again.
     """
-    forests = load_forests(fit_forest(table, cfg.forest, cfg.seed))
+    forests = load_forests(fit_forest(table, cfg.forest, cfg.seed, row_key="rowId"))
     scored = score_by_key(table, {"anomaly": forests, "probability": models}, "month")
     scored = scored.withColumn("probability", sigmoid(F.col("probability")))
     scored = staging.write(scored, "scored")
@@ -65,11 +71,11 @@ def training_sets(table: DataFrame, cfg: JobConfig, staging: Staging) -> tuple[D
     the boosting itself has to go month by month.
     """
     k = cfg.boost.folds
-    folded = with_folds(table, k, "Fraud", ("month",), "eventId", cfg.seed)
+    folded = with_folds(table, k, "Fraud", ("month",), "rowId", cfg.seed)
     folded = folded.select(
         "month",
         "fold",
-        F.col("eventId").cast("string").alias("row_id"),
+        F.col("rowId").alias("row_id"),
         F.col("Fraud").alias("label"),
         "features",
     )
@@ -93,14 +99,21 @@ def train_month(
     """Train one model per fold on ``month``, at the same time, and keep the one with the
     best held-out precision, the first among equals (also when all are 0)."""
     rows = month_slice(train, month)
+    sizes = [r["count"] for r in rows.groupBy("model").count().collect()]
 
     def fit(fold: int) -> BoostedTrees:
         own = rows.where(F.col("model") == fold).select("label", "features")
         return fit_boosted_trees(own, cfg.boost, previous, cfg.seed)
 
     folds = range(cfg.boost.folds)
-    with ThreadPool(len(folds)) as pool:
-        models = dict(zip(folds, pool.map(inheritable_thread_target(rows.sparkSession)(fit), folds)))
+    if max(sizes, default=0) <= cfg.boost.task_rows:
+        models = fit_sets(rows, "model", cfg.boost, previous)
+        empty = previous or BoostedTrees(first_margin(0, 0))
+        models = {fold: models.get(fold, empty) for fold in folds}
+    else:
+        with ThreadPool(len(folds)) as pool:
+            fitted = pool.map(inheritable_thread_target(rows.sparkSession)(fit), folds)
+        models = dict(zip(folds, fitted))
     tested = with_probability(month_slice(held_out, month).drop("row_id"), models, "fold")
     best = best_fold(fold_precision(tested, "label")).first()
     return models[best["fold"]], best["precision"]
@@ -136,7 +149,7 @@ def review_list(
     both = combined_score(mode=cfg.score_mode)
     score = F.when(F.col("probability").isNull(), alone).otherwise(both)
     scored = scored.withColumn("score", score)
-    return scored, top_n(scored, "score", cfg.review_budget)
+    return scored, top_n(scored, "score", cfg.review_budget, row_key="rowId")
 
 
 def anomaly_review(
@@ -145,7 +158,7 @@ def anomaly_review(
     """(scored rows, flagged rows) by anomaly alone, every month."""
     staging = staging or Staging(features.sparkSession)
     scored = scored_rows(model_table(features, cfg, staging), {}, cfg, staging)
-    return scored, top_n(scored, "decision", cfg.review_budget)
+    return scored, top_n(scored, "decision", cfg.review_budget, row_key="rowId")
 
 
 def detection_job(

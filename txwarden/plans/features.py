@@ -12,7 +12,7 @@ from txwarden.functions.skew import DEFAULT_SKEW, SkewSettings, profile_keys
 from txwarden.functions.staging import Staging
 from txwarden.operators.averages import AVERAGED_KEYS, with_average_amounts
 from txwarden.operators.cleaning import drop_columns, fill_missing
-from txwarden.operators.frequency import with_key_frequency
+from txwarden.operators.frequency import FREQUENCY_KEYS, with_key_frequency
 from txwarden.operators.labels import join_labels, with_label_columns
 from txwarden.operators.profile import dataset_profile, missing_report
 from txwarden.operators.scaling import fit_robust_scale
@@ -26,16 +26,31 @@ from txwarden.operators.temporal import (
     with_weekday_columns,
 )
 from txwarden.operators.velocity import account_window_features
-from txwarden.sources.files import read_labels, read_transactions, write_features
+from txwarden.sources.files import (
+    read_features,
+    read_labels,
+    read_transactions,
+    write_features,
+)
 
 
 def raw_feature_columns(
     tx: DataFrame, cfg: JobConfig, skew: SkewSettings = DEFAULT_SKEW
 ) -> DataFrame:
     """Frequencies, date parts and hour bands; the columns the missing report looks at."""
-    keys = ("accountNumber", "merchantId", "mcc")
     timed = wall_clock(tx, "transactionTime")
-    return with_hour_bands(with_date_parts(with_key_frequency(timed, keys, skew=skew)))
+    counted = with_key_frequency(timed, FREQUENCY_KEYS, skew=skew)
+    return with_hour_bands(with_date_parts(counted))
+
+
+def raw_feature_nulls(tx: DataFrame, cfg: JobConfig = JobConfig()) -> DataFrame:
+    """The columns of :func:`raw_feature_columns` as the missing report needs them: a frequency
+    is null exactly where its key is, so no key has to be counted or joined."""
+    timed = wall_clock(tx, "transactionTime")
+    known = {
+        f"{k}_freq": F.when(F.col(k).isNotNull(), F.lit(1)).cast("long") for k in FREQUENCY_KEYS
+    }
+    return with_hour_bands(with_date_parts(timed.withColumns(known)))
 
 
 def joined_features(
@@ -113,10 +128,10 @@ def preprocess_job(
     spark = tx.sparkSession
     with Staging(spark) as staging:
         write_features(feature_table(tx, labels, cfg, staging), out_path)
-    written = spark.read.parquet(out_path)
+    written = read_features(spark, out_path)
     return {
         "features": written,
-        "missing": missing_report(raw_feature_columns(tx, cfg)),
+        "missing": missing_report(raw_feature_nulls(tx, cfg)),
         "profile": dataset_profile(written),
     }
 

@@ -9,9 +9,9 @@ from pyspark.sql import types as T
 
 TRANSACTIONS = T.StructType(
     [
-        T.StructField("eventId", T.LongType()),
-        T.StructField("accountNumber", T.LongType()),
-        T.StructField("merchantId", T.LongType()),
+        T.StructField("eventId", T.StringType()),
+        T.StructField("accountNumber", T.StringType()),
+        T.StructField("merchantId", T.StringType()),
         T.StructField("mcc", T.StringType()),
         T.StructField("merchantCountry", T.StringType()),
         T.StructField("merchantZip", T.StringType()),
@@ -24,7 +24,7 @@ TRANSACTIONS = T.StructType(
 
 LABELS = T.StructType(
     [
-        T.StructField("eventId", T.LongType()),
+        T.StructField("eventId", T.StringType()),
         T.StructField("reportedTime", T.StringType()),
     ]
 )
