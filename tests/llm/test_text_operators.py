@@ -105,6 +105,39 @@ def test_repeats_of_random_small_alphabet(spark, monkeypatch):
     assert sorted([tuple(r) for r in got], key=repr) == brute_repeats(rows)
 
 
+@pytest.mark.parametrize("batch", [4 << 20, 100])
+def test_stretches_with_equal_upper_hash_halves_are_different(spark, monkeypatch, batch):
+    """Pairs with one sample, of whose 74-byte stretches the upper 32 bits of the hash are equal."""
+    monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", batch)
+    sample = "hpdbucyktifjzzevqcqprfvbep"
+    around = [
+        ("udurbbpkpnyrglsjmtyjkwsknbrwyrufvlrnwpobbexzt", "gtedhzpizkshcmfpstjeowapgjmmnxzyoezhzbjswvtbr"),
+        ("zuqffdaticcxgeppfxrjsqftxrtlvnireagucmhqeumny", "fdfezmbtpcgsxflregkvdrzyojzrdepjvzgfslxcojnaj"),
+        ("dssfdrayryolwdeilohoztsukbjododbauoxfutzagsfq", "jwpljvxfjvgtwiwaunflmgnxpzuwpttcbbklrogkfesla"),
+        ("iblsrdyzjyqwggvwjhtroyvbpfljprgbrpnrdtadxjazu", "ihbiblakzhkjlejiaesxcdczzvvxcwdnyjvepyurrkksv"),
+    ]
+    rows = [(i, a + sample + b) for i, (a, b) in enumerate(around)]
+    got = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).drop("spans").collect()
+    assert sorted([tuple(r) for r in got], key=repr) == brute_repeats(rows)
+    assert not any(r["n_removed"] for r in got)
+
+
+def test_log_family_compares_second_parts():
+    rnd = np.random.default_rng(1)
+    family, want = LogFamily(), {}
+    for _ in range(40):
+        pairs = sorted({(int(a), int(b)) for a, b in rnd.integers(0, 12, (30, 2))})
+        keys, rest = np.array(pairs, np.uint64).T
+        first = rnd.integers(0, 1000, len(pairs))
+        family.add(keys, first, rest.astype(np.uint32))
+        for pair, f in zip(pairs, first.tolist(), strict=True):
+            want[pair] = min(want.get(pair, f), f)
+    probe = [(a, b) for a in range(14) for b in range(14)]
+    keys, rest = np.array(probe, np.uint64).T
+    none = np.iinfo(np.int64).max
+    assert family.first(keys, rest.astype(np.uint32)).tolist() == [want.get(p, none) for p in probe]
+
+
 def test_log_family_holds_smallest_and_merges():
     rnd = np.random.default_rng(0)
     family, want = LogFamily(), defaultdict(lambda: np.iinfo(np.int64).max)

@@ -64,31 +64,53 @@ ARROW_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 class LogFamily:
     """Sorted arrays of different keys, each with the smallest id that has it; no two arrays
-    are of about the same size."""
+    are of about the same size. Keys of more than 64 bits have a second part, ``rest``."""
 
     def __init__(self) -> None:
-        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
+        self.levels: list[tuple[np.ndarray, ...]] = []
 
-    def add(self, keys: np.ndarray, first: np.ndarray) -> None:
-        while self.levels and len(self.levels[-1][0]) < 2 * len(keys):
-            keys, first = self._merged(self.levels.pop(), (keys, first))
-        self.levels.append((keys, first))
+    def add(self, keys: np.ndarray, first: np.ndarray, *rest: np.ndarray) -> None:
+        level = (keys, first, *rest)
+        while self.levels and len(self.levels[-1][0]) < 2 * len(level[0]):
+            level = self._merged(self.levels.pop(), level)
+        self.levels.append(level)
 
     @staticmethod
-    def _merged(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        keys, first = np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]])
-        order = np.argsort(keys, kind="stable")  # two runs: a merge
-        return smallest(keys[order], first[order])
+    def _merged(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+        keys, first, *rest = map(np.concatenate, zip(a, b, strict=True))
+        order = key_order(keys, *rest)
+        return smallest(keys[order], first[order], *[r[order] for r in rest])
 
-    def first(self, keys: np.ndarray) -> np.ndarray:
+    def first(self, keys: np.ndarray, *rest: np.ndarray) -> np.ndarray:
         """The smallest id of each key over all levels."""
         out = np.full(len(keys), NO_ID)
-        for have, first in self.levels:
-            at = np.minimum(np.searchsorted(have, keys), len(have) - 1)
-            out = np.where(have[at] == keys, np.minimum(out, first[at]), out)
+        for have, first, *more in self.levels:
+            at = np.searchsorted(have, keys)
+            for r, m in zip(rest, more, strict=True):
+                go_on = np.arange(len(keys))
+                while len(go_on):  # along keys that differ in their second part only
+                    go_on = go_on[at[go_on] < len(have)]
+                    i = at[go_on]
+                    go_on = go_on[(have[i] == keys[go_on]) & (m[i] < r[go_on])]
+                    at[go_on] += 1
+            at = np.minimum(at, len(have) - 1)
+            same = have[at] == keys
+            for r, m in zip(rest, more, strict=True):
+                same &= m[at] == r
+            out = np.where(same, np.minimum(out, first[at]), out)
         return out
 
 
+def key_order(keys: np.ndarray, *rest: np.ndarray) -> np.ndarray:
+    """The order of keys, then of their second parts."""
+    order = np.argsort(keys, kind="stable")  # of two runs: a merge
+    k = keys[order]
+    for r in (r[order] for r in rest):
+        if ((k[1:] == k[:-1]) & (r[1:] < r[:-1])).any():
+            return np.lexsort((*rest, keys))
+    return order
+
+
 def group_starts(*sorted_keys: np.ndarray) -> np.ndarray:
     """Where each group of equal keys begins."""
     n = len(sorted_keys[0])
@@ -99,12 +121,12 @@ def group_starts(*sorted_keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def smallest(keys: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def smallest(keys: np.ndarray, first: np.ndarray, *rest: np.ndarray) -> tuple[np.ndarray, ...]:
     """Different keys of a sorted array with the smallest value of each."""
     if not len(keys):
-        return keys, first
-    at = group_starts(keys)
-    return keys[at], np.minimum.reduceat(first, at)
+        return keys, first, *rest
+    at = group_starts(keys, *rest)
+    return keys[at], np.minimum.reduceat(first, at), *[r[at] for r in rest]
 
 
 def pack(x: np.ndarray, ascending: bool = False) -> bytes:
@@ -202,17 +224,17 @@ def spread(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low[of] + np.arange(len(of)) - offsets_of(n)[of], of
 
 
-def different(bucket: np.ndarray, key: np.ndarray, doc: np.ndarray):
-    """For each row the number of its (bucket, key) in sorted order; the different ones; and the
-    smallest document of each."""
-    if not len(key):
-        return np.zeros(0, np.int64), (bucket, key), doc
-    order = np.lexsort((key, bucket))
-    b, k = bucket[order], key[order]
-    at = group_starts(b, k)
+def different(doc: np.ndarray, *keys: np.ndarray):
+    """For each row the number of its keys (bucket, key and so on) in sorted order; the different
+    ones; and the smallest document of each."""
+    if not len(doc):
+        return np.zeros(0, np.int64), keys, doc
+    order = np.lexsort(keys[::-1])
+    keys = tuple(k[order] for k in keys)
+    at = group_starts(*keys)
     number = np.empty(len(order), np.int64)
     number[order] = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(order))))
-    return number, (b[at], k[at]), np.minimum.reduceat(doc[order], at)
+    return number, tuple(k[at] for k in keys), np.minimum.reduceat(doc[order], at)
 
 
 class Batch:
@@ -244,13 +266,15 @@ class Batch:
 
     def round2(self, repeated: np.ndarray) -> None:
         """Stretches whose sample occurs in several documents: different ones with their first
-        document, in order of sample and stretch."""
+        document, in order of sample and stretch. Nothing checks them again, so all 64 bits of
+        a stretch's hash count: the lower half is the entry's ``entry_rest``."""
         self.repeated = repeated
         self.open = np.flatnonzero(repeated[self.group])
         bucket = self.key[self.open] >> np.uint64(32)
-        suffix = (self.key[self.open] << np.uint64(32)) | (self.all.whole[self.open] >> np.uint64(32))
-        self.entry, (self.entry_bucket, self.entries), self.entry_first = different(
-            bucket, suffix, self.doc[self.open]
+        whole = self.all.whole[self.open]
+        suffix = (self.key[self.open] << np.uint64(32)) | (whole >> np.uint64(32))
+        self.entry, (self.entry_bucket, self.entries, self.entry_rest), self.entry_first = different(
+            self.doc[self.open], bucket, suffix, whole.astype(np.uint32)
         )
 
     def round3(self, found: np.ndarray, mixed: np.ndarray) -> None:
@@ -264,7 +288,7 @@ class Batch:
         self.window_doc = self.doc[rest][of]
         bucket = self.key[rest][of] >> np.uint64(32)
         self.window_group, (self.windows_bucket, self.windows), self.windows_first = different(
-            bucket, self.window, self.window_doc
+            self.window_doc, bucket, self.window
         )
 
     def removed(self, found: np.ndarray) -> np.ndarray:
@@ -300,13 +324,15 @@ def replayed(docs: pa.Table, table: pa.Table, length: int, bits: int) -> tuple[B
     return batch, bit, rows
 
 
-def with_smallest(rows: list[dict], keys: list[np.ndarray], first: list[np.ndarray]) -> list[np.ndarray]:
+def with_smallest(
+    rows: list[dict], keys: list[np.ndarray], first: list[np.ndarray], *rest: list[np.ndarray]
+) -> list[np.ndarray]:
     """For each batch's array, which keys an earlier document of any batch has."""
     family = LogFamily()
-    for k, f in zip(keys, first, strict=True):
+    for k, f, *r in zip(keys, first, *rest, strict=True):
         if len(k):
-            family.add(k, f)
-    return [family.first(k) < f for k, f in zip(keys, first, strict=True)]
+            family.add(k, f, *r)
+    return [family.first(k, *r) < f for k, f, *r in zip(keys, first, *rest, strict=True)]
 
 
 def remove_repeats(
@@ -344,7 +370,9 @@ def remove_repeats(
     bits2 = [("n2", pa.int32()), ("found", pa.binary()), ("mixed", pa.binary())]
     bits3 = [("n3", pa.int32()), ("gone", pa.binary())]
     sent1 = pa.schema([*addressed, ("n1", pa.int32()), ("keys", pa.binary())])
-    sent2 = pa.schema([*addressed, *bits1, ("n2", pa.int32()), ("keys", pa.binary()), ("first", pa.binary())])
+    sent2 = pa.schema(
+        [*addressed, *bits1, ("n2", pa.int32()), ("keys", pa.binary()), ("rest", pa.binary()), ("first", pa.binary())]
+    )
     sent3 = pa.schema([*addressed, *bits1, *bits2, ("n3", pa.int32()), ("keys", pa.binary()), ("first", pa.binary())])
     back1, back2 = pa.schema([*addressed, *bits1]), pa.schema([*addressed, *bits1, *bits2])
     back3 = pa.schema([*addressed, *bits1, *bits2, *bits3])
@@ -379,14 +407,19 @@ def remove_repeats(
         edges = batch.bucket_edges(batch.entry_bucket)
         for r in rows:
             a, b = edges[r["bucket"]], edges[r["bucket"] + 1]
-            r |= {"n2": int(b - a), "keys": pack(batch.entries[a:b], True), "first": pack(batch.entry_first[a:b])}
+            r |= {"n2": int(b - a), "keys": pack(batch.entries[a:b], True)}
+            r |= {"rest": pack(batch.entry_rest[a:b]), "first": pack(batch.entry_first[a:b])}
         return pa.Table.from_pylist(rows, sent2)
 
     def scan2(table: pa.Table) -> pa.Table:
         rows = sorted(table.to_pylist(), key=lambda r: r["batch"])
         keys = [unpack(r.pop("keys"), np.uint64, True) for r in rows]
-        found = with_smallest(rows, keys, [unpack(r.pop("first"), np.int64) for r in rows])
-        samples, n = np.unique(np.unique(np.concatenate(keys)) >> np.uint64(32), return_counts=True)
+        rest = [unpack(r.pop("rest"), np.uint32) for r in rows]
+        found = with_smallest(rows, keys, [unpack(r.pop("first"), np.int64) for r in rows], rest)
+        whole, low = np.concatenate(keys), np.concatenate(rest)
+        order = key_order(whole, low)
+        whole, low = whole[order], low[order]
+        samples, n = np.unique(whole[group_starts(whole, low)] >> np.uint64(32), return_counts=True)
         several = samples[n > 1]
         for r, k, f in zip(rows, keys, found, strict=True):
             r |= {"found": pack_bits(f), "mixed": pack_bits(np.isin(k >> np.uint64(32), several))}
