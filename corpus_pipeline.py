@@ -3,7 +3,8 @@
 Every stage takes the documents that its predecessor kept, in the columns of ``documents``:
 
 1. quality rules: documents that fail the base rules or lie far out go,
-2. n-gram Jaccard join: the document with the smallest id of each near-duplicate group stays,
+2. n-gram Jaccard join: one document of each near-duplicate group stays, that with the smallest
+   id; of rows that share it, or have none, the one with the smallest hash,
 3. suffix-array dedup: characters in passages that an earlier document has are cut out,
 4. benchmark decontamination: documents with too many words of test items go,
 5. mixing: documents with the number of copies that bring sources to their weights, above 0.
@@ -32,8 +33,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = near_duplicate_components(docs, words=5, percent=75, keep=OTHERS)
-    return found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(*COLUMNS)
+    return near_duplicate_components(docs, words=5, percent=75, keep=OTHERS, one_each=True).select(*COLUMNS)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -84,6 +84,30 @@ def test_components_of_awkward_rows(spark):
     assert near_duplicate_components(awkward.limit(0)).collect() == []
 
 
+def test_one_row_of_each_group_passes_the_join(spark):
+    """Repeated rows, groups without ids, equal ids of different texts, and rows without shingles."""
+    prose = [" ".join(f"{c}{i}" for i in range(120)) for c in "abcdef"]
+    near = lambda t: t.replace("50 ", "x ")
+    texts = [(1, prose[0]), (1, prose[0]), (1, prose[0]), (9, near(prose[0]))]  # repeated rows
+    texts += [(None, prose[1])] * 3 + [(None, near(prose[1]))]  # no ids at all
+    texts += [(2, prose[2]), (2, near(prose[2])), (None, prose[2])]  # an id of two texts
+    texts += [(None, prose[3]), (7, near(prose[3])), (7, near(prose[3]))]
+    texts += [(3, prose[4]), (None, prose[5])]  # alone
+    texts += [(4, ""), (4, ""), (5, None), (None, None), (None, None)]  # no shingles
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in texts]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    kept = []
+    for parts, order in ((1, rows), (5, rows[::-1])):
+        docs = spark.createDataFrame(order, schema).repartition(parts)
+        got = corpus_pipeline.jaccard_join(spark, docs, "").collect()
+        kept.append(sorted([(r["doc_id"], r["text"]) for r in got], key=repr))
+        assert got[0].asDict().keys() == set(corpus_pipeline.COLUMNS)
+    assert kept[0] == kept[1]
+    families = [(i, t.split()[0][0]) for i, t in kept[0] if t]
+    assert sorted(families, key=repr) == sorted([(1, "a"), (None, "b"), (2, "c"), (7, "d"), (3, "e"), (None, "f")], key=repr)
+    assert sorted([x for x in kept[0] if not x[1]], key=repr) == sorted([(4, ""), (4, ""), (5, None), (None, None), (None, None)], key=repr)
+
+
 def test_labels_of_long_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(0, 60) if i % 20 != 19] + [(100, 200 + i) for i in range(50)] + [(7, 100)]
     nodes = sorted({x for pair in links for x in pair} | {500})

@@ -311,8 +311,12 @@ def near_duplicate_components(
     id_col: str = "doc_id",
     text_col: str = "text",
     keep: tuple[str, ...] = (),
+    one_each: bool = False,
 ) -> DataFrame:
-    """Per document: id, the columns of ``keep``, ``n_shingles`` and ``component_id``, the smallest id reachable by links."""
+    """Per document: id, the columns of ``keep``, ``n_shingles`` and ``component_id``, the smallest id reachable by links.
+
+    With ``one_each`` only one row of each component, that with the smallest id (null comes last), among equal ids
+    the one with the smallest hash of text and ``keep``; rows without shingles stay as they are."""
     ship_package(docs.sparkSession)
     name = {k: "text" if k == text_col else f"keep_{i}" for i, k in enumerate(keep)}
     texts = docs.select(
@@ -321,11 +325,21 @@ def near_duplicate_components(
         *[F.col(quoted(k)).alias(n) for k, n in name.items() if n != "text"],
     )
     kept = list(name.values())
-    sets = settled(shingle_sets(texts, words=words, percent=percent, carry=kept), "sets")
+    carry = kept
+    if one_each:
+        texts = texts.withColumn("hash", F.xxhash64("text", *[n for n in kept if n != "text"]))
+        carry = [*kept, "hash"]
+    sets = shingle_sets(texts, words=words, percent=percent, carry=carry)
+    if one_each:  # tells equal rows apart; fixed by storing it
+        sets = sets.withColumn("row", F.monotonically_increasing_id())
+    sets = settled(sets, "sets")
     live = sets.filter("node is not null")
+    # What a component keeps is found node by node: no list of its rows is made.
+    best = [F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "hash", "row")).alias("best")] if one_each else []
     nodes = settled(
         live.groupBy("node").agg(
-            F.min("id").alias("id"), F.first("n").alias("n"), F.first("own").alias("own"), F.first("tokens").alias("tokens")
+            F.min("id").alias("id"), F.first("n").alias("n"), F.first("own").alias("own"), F.first("tokens").alias("tokens"),
+            *best,
         ),
         "nodes",
     )
@@ -341,10 +355,15 @@ def near_duplicate_components(
         rows = settled(open_lists(rows.drop("label").join(labels, "node"), percent), "open")
         if not rows.isEmpty():
             labels = connected_labels(labels, family_links(rows, labels, nodes, percent))
-    found = labels.join(nodes.select("node", "id"), "node")
-    smallest = found.groupBy("label").agg(F.min("id").alias("component_id"))
-    of_node = found.join(smallest, "label").select("node", "component_id")
-    linked = live.select("id", "n", "node", *kept).join(of_node, "node")
+    if one_each:
+        first = labels.join(nodes.select("node", "best"), "node").groupBy("label").agg(F.min("best").alias("best"))
+        first = first.select(F.col("best.row").alias("row"), F.col("best.id").alias("component_id"))
+        linked = live.select("id", "n", "row", *kept).join(first, "row")
+    else:
+        found = labels.join(nodes.select("node", "id"), "node")
+        smallest = found.groupBy("label").agg(F.min("id").alias("component_id"))
+        of_node = found.join(smallest, "label").select("node", "component_id")
+        linked = live.select("id", "n", "node", *kept).join(of_node, "node")
     alone = sets.filter("node is null").select("id", "n", F.col("id").alias("component_id"), *kept)
     out = linked.select("id", "n", "component_id", *kept).unionByName(alone)
     named = [F.col(n).alias(k) for k, n in name.items()]
