@@ -288,6 +288,16 @@ def test_decontamination_equals_brute_force(spark, awkward, monkeypatch, shard):
     assert sorted([tuple(r) for r in got], key=repr) == brute_hits(rows, items)
 
 
+def test_an_item_with_texts_in_several_shards_counts_once(spark, monkeypatch):
+    texts = [" ".join(f"t{i}w{j}" for j in range(20)) for i in range(12)]
+    bench = spark.createDataFrame([(7, t) for t in texts], "item_id long, text string")
+    rows = [(1, " and ".join(texts)), (2, texts[0]), (3, "nothing of it")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(decon, "SHARD_BYTES", 400)
+    got = {r["doc_id"]: r for r in decontaminate(docs, bench).collect()}
+    assert [got[i]["n_items"] for i in (1, 2, 3)] == [1, 1, 0] and got[1]["n_hit"] == 240
+
+
 def test_decontamination_without_items(spark, awkward, empty):
     none = spark.createDataFrame([], "item_id long, text string")
     rows = decontaminate(awkward, none, keep=("id", "size")).collect()

@@ -294,7 +294,7 @@ def decontaminate(
         *[F.col(n).alias(k) for k, n in name.items()],
         "n_words",
         "n_hit",
-        F.size("items").cast("long").alias("n_items"),
+        F.size(F.array_distinct("items")).cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", ids).cast("binary"), 256).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (part * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
         "spans",
