@@ -6,7 +6,8 @@ Every stage takes the documents that its predecessor kept, in the columns of ``d
 2. n-gram Jaccard join: one document of each near-duplicate group stays, that with the smallest
    id; of rows that share it, or have none, the one with the smallest hash,
 3. suffix-array dedup: characters in passages that an earlier document has are cut out,
-4. benchmark decontamination: documents with too many words of test items go,
+4. benchmark decontamination: documents with too many words of test items go, and from others
+   every passage of 13 or more words of test items is cut out,
 5. mixing: documents with the number of copies that bring sources to their weights, above 0.
 """
 
@@ -44,7 +45,9 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate(docs, items, window=13, keep=OTHERS).filter("not contaminated").select(*COLUMNS)
+    left = decontaminate(docs, items, window=13, keep=("lang", "source"), with_text=True)
+    left = left.filter("not contaminated").withColumnRenamed("kept_text", "text")
+    return left.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import re
 from collections import defaultdict
 from pathlib import Path
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -288,6 +289,29 @@ def test_decontamination_equals_brute_force(spark, awkward, monkeypatch, shard):
     assert sorted([tuple(r) for r in got], key=repr) == brute_hits(rows, items)
 
 
+@pytest.mark.parametrize("shard", [1 << 20, 400])
+def test_long_spans_are_cut_at_any_coverage(spark, monkeypatch, tmp_path, shard):
+    monkeypatch.setattr(decon, "SHARD_BYTES", shard)
+    items = [(i, " ".join(f"é{i}w{j}" for j in range(20))) for i in range(8)] + [(8, "short item")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    plain = lambda k, n: " ".join(f"ß{k}plain{j}" for j in range(n))
+    part = " ".join(items[3][1].split()[:12])  # less than a window
+    texts = {
+        1: (f"{items[0][1]}, {plain(1, 2000)} ({items[1][1].replace('w', 'W')}) {plain(2, 900)} short item: {part}; {items[2][1]}",
+            f", {plain(1, 2000)} () {plain(2, 900)} short item: {part}; "),
+        2: (plain(3, 100), plain(3, 100)),
+        3: (f"{plain(4, 100)} {items[4][1]}", None),  # contaminated
+        4: (f"{plain(5, 900)}\n{items[5][1]} {items[6][1]}\n中文 {plain(6, 900)}", f"{plain(5, 900)}\n\n中文 {plain(6, 900)}"),
+        5: ("", ""),
+    }
+    rows = [(i, t[0], "en", "s", len(t[0])) for i, t in texts.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: r for r in corpus_pipeline.decontamination(spark, docs, str(tmp_path)).collect()}
+    assert set(got) == {1, 2, 4, 5}
+    assert {i: r["text"] for i, r in got.items()} == {i: texts[i][1] for i in got}
+    assert all(r["n_chars"] == len(r["text"]) for r in got.values())
+
+
 def test_an_item_with_texts_in_several_shards_counts_once(spark, monkeypatch):
     texts = [" ".join(f"t{i}w{j}" for j in range(20)) for i in range(12)]
     bench = spark.createDataFrame([(7, t) for t in texts], "item_id long, text string")

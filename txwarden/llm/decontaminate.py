@@ -25,7 +25,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -214,10 +214,14 @@ def decontaminate(
     item_col: str = "item_id",
     item_text_col: str = "text",
     keep: tuple[str, ...] = (),
+    with_text: bool = False,
+    cut_words: int | None = None,
 ) -> DataFrame:
     """Per document: id, the columns of ``keep``, ``n_words``, ``n_hit``, ``n_items``,
     ``items_sha256``, ``contaminated`` (at least one word in ``part`` is hit) and ``spans``,
-    the stretches of hit words: byte and word numbers, start and end."""
+    the stretches of hit words: byte and word numbers, start and end; with ``with_text`` also
+    ``kept_text``, the text without spans of ``cut_words`` words (a window, if not given) or more,
+    whatever part of the document they are."""
     spark = docs.sparkSession
     ship_package(spark)
     bench = items.select(
@@ -234,6 +238,8 @@ def decontaminate(
         *[F.col(quoted(k)).alias(n) for k, n in name.items() if n != "_text"],
     )
     carried = list(name.values())
+    if with_text and "_text" not in carried:
+        carried = [*carried, "_text"]
     if shards > 1:
         texts, carried = texts.withColumn("_key", F.xxhash64("_text")), [*carried, "_key"]
     found_type = T.StructType(
@@ -298,9 +304,27 @@ def decontaminate(
         F.sha2(F.concat_ws(",", ids).cast("binary"), 256).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (part * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
         "spans",
+        *([without_spans(F.col("_text"), cut_words or window).alias("kept_text")] if with_text else []),
     )
 
 
+def without_spans(text: Column, least: int) -> Column:
+    """The text without the bytes of spans of ``least`` words or more. Spans begin and end with
+    words, hence with characters."""
+    spans = F.filter(merged(F.col("spans")), lambda x: x["last_word"] - x["first_word"] >= least)
+    body = text.cast("binary")
+
+    def pieces(cut: Column) -> Column:
+        def piece(i: Column) -> Column:
+            low = F.coalesce(F.get(cut, i - 1)["end"], F.lit(0)).cast("int")
+            high = F.coalesce(F.get(cut, i)["start"], F.octet_length(text)).cast("int")
+            return F.substring(body, low + 1, F.greatest(high - low, F.lit(0))).cast("string")
+
+        return F.array_join(F.transform(F.sequence(F.lit(0), F.size(cut)), piece), "")
+
+    return F.when(F.size(spans) == 0, text).otherwise(F.transform(F.array(spans), pieces)[0])
+
+
 def joined(found: list[DataFrame]) -> DataFrame:
     """The results of several shards as one. Only documents with hits are merged, by id and hash
     of the text; equal documents have equal hits, so merging them together changes nothing."""
@@ -313,9 +337,13 @@ def joined(found: list[DataFrame]) -> DataFrame:
     both = first.join(more, F.col("id").eqNullSafe(F.col("of")) & F.col("_key").eqNullSafe(F.col("of_key")), "left")
     with_more = lambda c: F.concat(c, F.coalesce(f"more_{c}", F.array().cast(first.schema[c].dataType)))
     both = both.withColumn("items", with_more("items"))
-    spans = F.array_sort(with_more("spans"))
-    # Ranges in order; one that overlaps the last of those so far is joined to it.
-    none = F.array().cast(first.schema["spans"].dataType)
+    both = both.withColumn("spans", merged(with_more("spans")))
+    words = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["last_word"] - x["first_word"])
+    return both.withColumn("n_hit", words).drop("of", "of_key", "more_spans", "more_items", "_key")
+
+
+def merged(spans: Column) -> Column:
+    """Spans in order; one that touches the last of those so far is joined to it."""
 
     def add(done, x):
         last = F.get(done, F.size(done) - 1)
@@ -330,6 +358,4 @@ def joined(found: list[DataFrame]) -> DataFrame:
             F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(wider))
         )
 
-    both = both.withColumn("spans", F.aggregate(spans, none, add))
-    words = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["last_word"] - x["first_word"])
-    return both.withColumn("n_hit", words).drop("of", "of_key", "more_spans", "more_items", "_key")
+    return F.aggregate(F.array_sort(spans), F.array().cast(T.ArrayType(SPAN)), add)
