@@ -233,6 +233,28 @@ def test_outliers_go_and_plain_documents_stay(spark):
     assert all(got[i]["base_failed"] and not got[i]["kept"] for i in (3000, 3001, 3002))
 
 
+def test_each_statistic_rejects_on_its_own(spark):
+    rnd = random.Random(3)
+    vocabulary = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 9))) for _ in range(3000)]
+    prose = lambda n: [rnd.choice(vocabulary) for _ in range(n)]
+    rows = [(i, " ".join(prose(rnd.randint(60, 400)))) for i in range(600)]
+    again = prose(47)
+    lines = "\n".join(f"{a} {b}\nend" for a, b in zip(prose(60), prose(60), strict=True))
+    rows += [
+        (1000, " ".join(w * 5 for w in prose(200))),  # mean_word
+        (1001, " ".join(w + "*" for w in prose(200))),  # symbol_rate
+        (1002, lines),  # line_rate: no window of three words twice
+        (1003, " ".join([*again, *prose(106), *again])),  # repeat_rate: 94 of 200 words
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "a") for i, t in rows], "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in quality_verdicts(docs).collect()}
+    assert sum(got[i]["kept"] for i in range(600)) >= 598
+    for i, name in zip(range(1000, 1004), VECTOR, strict=True):
+        assert not got[i]["base_failed"] and not got[i]["kept"], name
+    assert got[1003]["n_dup_lines"] == 0 and got[1003]["n_repeat_words"] == 94
+    assert got[1002]["n_repeat_words"] == 0
+
+
 def test_quality_rules_on_awkward_rows(awkward, empty):
     rows = quality_verdicts(awkward).collect()
     assert len(rows) == len(awkward_rows()) and not any(r["kept"] and r["base_failed"] for r in rows)
