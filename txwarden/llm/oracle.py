@@ -168,5 +168,53 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN page_id > first_id THEN first_id END AS refers_to,
        1::INTEGER AS n_requests
 FROM d
+""",
+    "op11_sequence_trie": """
+WITH t AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id
+               ORDER BY turn NULLS FIRST,
+                        md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL),
+sizes AS (SELECT conv_id, max(pos) AS own FROM t GROUP BY conv_id),
+crc AS (  -- bit by bit over the decimal digits
+    SELECT conv_id, own, (4294967295 - list_reduce(
+        list_prepend(4294967295::BIGINT,
+            list_transform(range(length(conv_id::VARCHAR)), lambda i: ascii(substr(conv_id::VARCHAR, i + 1, 1))::BIGINT)),
+        lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                                 lambda y, z: xor(y >> 1, 3988292384 * (y & 1))))) % 6 AS h
+    FROM sizes),
+c AS (
+    SELECT crc.conv_id, h, least(h, coalesce(b.own, 0)) AS m
+    FROM crc LEFT JOIN sizes b ON b.conv_id = crc.conv_id - crc.conv_id % 100),
+r AS (
+    SELECT c.conv_id, t.pos, role, text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 AND t.pos <= m
+    UNION ALL
+    SELECT c.conv_id, t.pos - h + m, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos > h),
+chained AS (  -- the list of all turns up to each one
+    SELECT conv_id, pos AS depth, length(text) AS chars,
+           list(length(role)::VARCHAR || ':' || role || text) OVER (
+               PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS path
+    FROM r
+    UNION ALL SELECT conv_id, 0, 0, [] FROM c),
+p AS (
+    SELECT conv_id, depth, chars, path, max(depth) OVER (PARTITION BY conv_id) AS n FROM chained),
+keyed AS (
+    SELECT *, min(conv_id) OVER (PARTITION BY path) AS node FROM p),
+up AS (SELECT a.*, b.node AS parent FROM keyed a LEFT JOIN keyed b ON b.conv_id = a.conv_id AND b.depth = a.depth - 1),
+nodes AS (
+    SELECT node, depth, any_value(parent) AS parent, any_value(chars) AS chars, count(*) AS n_convs,
+           coalesce(string_agg(CASE WHEN depth = n THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '') AS ends,
+           (count(*) - 1) * any_value(chars) AS saved
+    FROM up GROUP BY node, depth),
+children AS (SELECT parent AS node, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+full_nodes AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (node, depth)),
+below AS (  -- every node counts for the nodes above it on its smallest member's path
+    SELECT k.node, k.depth, sum(f.saved) AS saved, sum(CASE WHEN f.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves
+    FROM full_nodes f JOIN keyed k ON k.conv_id = f.node AND k.depth <= f.depth GROUP BY ALL)
+SELECT f.node AS conv_id, f.depth::BIGINT AS depth, f.parent AS parent_conv_id, f.n_convs::BIGINT AS n_convs,
+       f.n_children::BIGINT AS n_children, below.n_leaves::BIGINT AS n_leaves, below.saved::BIGINT AS saved_tokens,
+       sha256(f.ends) AS ends_sha256
+FROM full_nodes f JOIN below USING (node, depth)
 """,
 }

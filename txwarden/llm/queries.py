@@ -14,6 +14,7 @@ from txwarden.llm.jaccard_join import near_duplicate_components
 from txwarden.llm.language_id import identify
 from txwarden.llm.mixing import pareto_mix
 from txwarden.llm.perspectives import rotate_perspectives
+from txwarden.llm.prefix_trie import end_digests, ordered_turns, prefix_trie, with_shared_heads
 from txwarden.llm.quality_classifier import quality_scores
 from txwarden.llm.quality_rules import quality_verdicts
 from txwarden.llm.suffix_dedup import remove_repeats
@@ -30,6 +31,7 @@ SHINGLE_WORDS, SIMILAR_PERCENT = 5, 75
 GOOD = 0.7
 ITEM_WINDOW = 13
 MIX_WEIGHTS, MIX_COPIES = (1, 2, 3), 3
+FAMILY, HEADS = 100, 6
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]):
@@ -144,6 +146,29 @@ def op10_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _crc32(column: Column) -> Column:
+    return F.crc32(column.cast("string").cast("binary"))
+
+
+@query
+def op11_sequence_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of all conversations, each rebuilt on its family's first turns."""
+    turns = ordered_turns(table(spark, sf_dir, "conversations"))
+    rebuilt = with_shared_heads(turns, lambda c: c - c % FAMILY, lambda c: _crc32(c) % HEADS, HEADS - 1)
+    trie = prefix_trie(rebuilt)
+    nodes = trie.nodes.join(end_digests(trie.ends), ["depth", "key_a", "key_b"], "left")
+    return nodes.select(
+        "conv_id",
+        "depth",
+        "parent_conv_id",
+        "n_convs",
+        "n_children",
+        "n_leaves",
+        "saved_tokens",
+        F.coalesce("ends_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("ends_sha256"),
+    )
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five stages of the corpus pipeline."""
