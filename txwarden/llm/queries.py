@@ -17,6 +17,7 @@ from txwarden.llm.perspectives import rotate_perspectives
 from txwarden.llm.prefix_trie import end_digests, ordered_turns, prefix_trie, with_shared_heads
 from txwarden.llm.quality_classifier import quality_scores
 from txwarden.llm.quality_rules import quality_verdicts
+from txwarden.llm.spelling import corpus_words, variant_forms
 from txwarden.llm.suffix_dedup import remove_repeats
 from txwarden.llm.token_counts import prefix_token_counts
 from txwarden.llm.warc import assemble, read_warc, resolve_revisits, write_warc
@@ -32,6 +33,7 @@ GOOD = 0.7
 ITEM_WINDOW = 13
 MIX_WEIGHTS, MIX_COPIES = (1, 2, 3), 3
 FAMILY, HEADS = 100, 6
+WORD_RUNS, WORD_CHARS, WORD_COUNT, WORD_NOISE, FORM_TIMES = "[A-Za-z\u00C0-\u00FF]+", 5, 3, 97, 2
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]):
@@ -169,6 +171,14 @@ def op11_sequence_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op12_gram_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the words one edit apart and the forms that these lead to."""
+    docs = table(spark, sf_dir, "documents")
+    words = corpus_words(docs, runs=WORD_RUNS, least_chars=WORD_CHARS, least_count=WORD_COUNT, drop_every=WORD_NOISE)
+    return variant_forms(words, FORM_TIMES).select("word", "n", "n_near", "form", "form_n", "root")
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five stages of the corpus pipeline."""
