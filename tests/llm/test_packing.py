@@ -1,0 +1,172 @@
+"""Packing: token ids against the tokenizer library, bins against exhaustive search, whole results."""
+
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from txwarden.llm import packing
+from txwarden.llm.packing import best_fit, cut_pieces, encoder, fillings, least_bins, pack, pack_counts, sequences, slot_rows
+
+TOKENIZER, END = "byte_bpe_50k.json", 2
+SCHEMA = "doc_id long, text string, length int, task string, ids string"
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(public_tokenizers.path(TOKENIZER))
+
+
+def awkward_texts():
+    rnd = random.Random(4)
+    words = ["the", "Éa", "naïve", "12", "\n\n", "  ", "it's", "<|endoftext|>", "漢字", "x\x1cy", "　", "🙂", "|"]
+    texts = [None, "", " ", "<|endoftext|>", "a" * 5000, " " * 5000, "漢字" * 2000, "\n \n" * 800, "q" * 200_000]
+    return texts + [" ".join(rnd.choice(words) for _ in range(rnd.randint(1, 900))) for _ in range(60)]
+
+
+def test_ids_equal_the_library(library):
+    tool = encoder(TOKENIZER)
+    for text in awkward_texts():
+        want = library.encode(text or "", add_special_tokens=False).ids
+        assert tool.encode_to_numpy(text or "", allowed_special="all").tolist() == want
+
+
+@pytest.fixture(scope="module")
+def rows():
+    texts = awkward_texts()
+    rows = [(i, t, 7, "clash", "x") for i, t in enumerate(texts)]
+    return rows + [(5, texts[5], 1, "r", "r")] * 3 + [(None, texts[-1], None, None, None), (None, None, None, None, None)]
+
+
+@pytest.mark.parametrize("capacity", [16, 100, 1024])
+def test_every_token_is_packed_once(spark, library, rows, capacity):
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    packed = pack(cut_pieces(df, TOKENIZER, capacity, END), capacity)
+    want = Counter()
+    for i, t, *_ in rows:
+        ids = [*library.encode(t or "", add_special_tokens=False).ids, END]
+        first = (len(ids) - 1) % capacity + 1
+        cuts = [0, *range(first, len(ids), capacity), len(ids)]
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            want[i, k, a, tuple(ids[a:b])] += 1
+    got, bins = Counter(), defaultdict(list)
+    found = packed.collect()
+    assert set(packed.columns) == {"doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"}
+    for r in found:
+        ids = np.frombuffer(bytes(r.ids), "<u4")
+        assert len(ids) == r.length
+        got[r.doc_id, r.piece, r.start, tuple(ids.tolist())] += 1
+        bins[r.sequence_id].append((r.offset, r.length))
+    assert got == want
+    for parts in bins.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    total = sum(r.length for r in found)
+    assert len(bins) <= -(-total // capacity) * 1.03 + 1
+    made = sequences(packed).collect()
+    assert {r.sequence_id: r.length for r in made} == {k: sum(n for _, n in v) for k, v in bins.items()}
+    assert all(len(r.ids) == 4 * r.length and r.starts == sorted(o for o, _ in bins[r.sequence_id]) for r in made)
+
+
+def test_reruns_and_partitions_give_as_many_sequences(spark, rows):
+    counts = []
+    for n in (1, 4):
+        df = spark.createDataFrame(rows, SCHEMA).repartition(n)
+        found = pack(cut_pieces(df, TOKENIZER, 100, END), 100)
+        counts.append(found.agg(F.countDistinct("sequence_id")).first()[0])
+    assert counts[0] == counts[1]
+
+
+def test_empty(spark):
+    assert pack(cut_pieces(spark.createDataFrame([], SCHEMA), TOKENIZER, 1024, END), 1024).collect() == []
+
+
+def optimum(sizes, capacity):
+    """Fewest bins, by trying every place for every piece, largest first."""
+    sizes, best = sorted(sizes, reverse=True), len(sizes)
+
+    def go(at, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if at == len(sizes):
+            best = len(rooms)
+            return
+        for room in {r for r in rooms if r >= sizes[at]}:
+            rest = list(rooms)
+            rest.remove(room)
+            go(at + 1, [*rest, room - sizes[at]])
+        go(at + 1, [*rooms, capacity - sizes[at]])
+
+    go(0, [])
+    return best
+
+
+def used_by(packing_):
+    used = Counter()
+    for filling, times in packing_:
+        for length, uses in filling:
+            used[length] += uses * times
+    return dict(used)
+
+
+def test_bins_against_exhaustive_search():
+    rnd, better, plain, right = random.Random(11), 0, 0, 0
+    for _ in range(150):
+        sizes = [rnd.randint(5, 30) for _ in range(9)]
+        totals, counts = Counter(sizes), np.bincount(sizes, minlength=51)
+        found, fit = pack_counts(totals, 50), best_fit(counts, 50)
+        for p in (found, fit):
+            assert used_by(p) == dict(totals)
+            assert all(sum(n * u for n, u in f) <= 50 for f, _ in p)
+        want = optimum(sizes, 50)
+        n = sum(t for _, t in found)
+        m = sum(t for _, t in fit)
+        assert least_bins(counts, 50) <= want <= n <= m
+        better, plain, right = better + (n < m), plain + (m == want), right + (n == want)
+    assert right >= 147 and right >= plain
+
+
+def test_many_copies_beat_best_fit():
+    totals = {n: 5000 for n in (341, 342, 343, 171, 172, 513, 255, 257)}
+    counts = np.zeros(1025, np.int64)
+    counts[list(totals)] = 5000
+    found = pack_counts(totals, 1024)
+    assert used_by(found) == totals
+    assert sum(t for _, t in found) < 0.97 * sum(t for _, t in best_fit(counts, 1024))
+
+
+def test_fillings_are_undominated():
+    counts = np.zeros(101, np.int64)
+    for n in (60, 45, 30, 25, 10, 5):
+        counts[n] = 2
+    assert fillings(counts, 60, 1000, 10) == [((60, 1),)]  # fills the room alone
+    for filling in fillings(counts, 70, 1000, 10):
+        slack = 70 - sum(n * u for n, u in filling)
+        used = dict(filling)
+        assert not any(counts[n] > used.get(n, 0) and n <= slack for n in range(1, 101))
+        for n in used:  # no larger one fits in its place
+            assert not any(counts[m] > used.get(m, 0) for m in range(n + 1, n + slack + 1))
+
+
+def test_slots_cover_every_rank_once():
+    totals = {7: 1000, 5: 333, 3: 12_345, 11: 1}
+    seen = Counter()
+    for length, low, high, uses, _, _ in slot_rows(pack_counts(totals, 32)):
+        assert high > low and (high - low) % uses == 0
+        seen[length] += high - low
+    assert seen == Counter(totals)
+
+
+def test_numbers_count_on():
+    seen = np.zeros(6, np.int64)
+    assert packing.numbered(np.array([3, 5, 3, 3, 1]), seen).tolist() == [0, 0, 1, 2, 0]
+    assert packing.numbered(np.array([5, 3]), seen).tolist() == [1, 3]
+    assert packing.numbered(np.array([], np.int64), seen).tolist() == []

@@ -13,6 +13,7 @@ from txwarden.llm.decontaminate import decontaminate
 from txwarden.llm.jaccard_join import near_duplicate_components
 from txwarden.llm.language_id import identify
 from txwarden.llm.mixing import pareto_mix
+from txwarden.llm.packing import cut_pieces, pack
 from txwarden.llm.perspectives import rotate_perspectives
 from txwarden.llm.prefix_trie import end_digests, ordered_turns, prefix_trie, with_shared_heads
 from txwarden.llm.quality_classifier import quality_scores
@@ -33,6 +34,7 @@ GOOD = 0.7
 ITEM_WINDOW = 13
 MIX_WEIGHTS, MIX_COPIES = (1, 2, 3), 3
 FAMILY, HEADS = 100, 6
+PACK_TOKENIZER, PACK_TOKENS, PACK_END = "byte_bpe_50k.json", 1024, 2
 WORD_RUNS, WORD_CHARS, WORD_COUNT, WORD_NOISE, FORM_TIMES = "[A-Za-z\u00C0-\u00FF]+", 5, 3, 97, 2
 
 
@@ -179,6 +181,13 @@ def op12_gram_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variant_forms(words, FORM_TIMES).select("word", "n", "n_near", "form", "form_n", "root")
 
 
+@query
+def op13_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every piece of every document lies in the packed sequences, with a checksum of its ids."""
+    pieces = cut_pieces(table(spark, sf_dir, "documents"), PACK_TOKENIZER, PACK_TOKENS, PACK_END)
+    return pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), PACK_TOKENS)
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five stages of the corpus pipeline."""
