@@ -46,7 +46,7 @@ class BoostSettings:
     min_child_weight: float = 1.0
     max_bins: int = 256
     # Training sets of up to so many rows are trained in one task each, larger ones over all
-    # executors. All rows count either way.
+    # executors, to the same trees.
     task_rows: int = 100_000
 
 

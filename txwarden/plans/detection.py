@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from multiprocessing.pool import ThreadPool
-
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,8 +12,8 @@ from txwarden.functions.trees import score_by_key
 from txwarden.operators.boosting import (
     BoostedTrees,
     first_margin,
-    fit_boosted_trees,
     fit_sets,
+    fit_spread_sets,
     sigmoid,
     with_probability,
 )
@@ -100,20 +97,11 @@ def train_month(
     best held-out precision, the first among equals (also when all are 0)."""
     rows = month_slice(train, month)
     sizes = [r["count"] for r in rows.groupBy("model").count().collect()]
-
-    def fit(fold: int) -> BoostedTrees:
-        own = rows.where(F.col("model") == fold).select("label", "features")
-        return fit_boosted_trees(own, cfg.boost, previous, cfg.seed)
-
-    folds = range(cfg.boost.folds)
-    if max(sizes, default=0) <= cfg.boost.task_rows:
-        models = fit_sets(rows, "model", cfg.boost, previous)
-        empty = previous or BoostedTrees(first_margin(0, 0))
-        models = {fold: models.get(fold, empty) for fold in folds}
-    else:
-        with ThreadPool(len(folds)) as pool:
-            fitted = pool.map(inheritable_thread_target(rows.sparkSession)(fit), folds)
-        models = dict(zip(folds, fitted))
+    # the same trees either way
+    fit = fit_sets if max(sizes, default=0) <= cfg.boost.task_rows else fit_spread_sets
+    fitted = fit(rows, "model", cfg.boost, previous)
+    empty = previous or BoostedTrees(first_margin(0, 0))
+    models = {fold: fitted.get(fold, empty) for fold in range(cfg.boost.folds)}
     tested = with_probability(month_slice(held_out, month).drop("row_id"), models, "fold")
     best = best_fold(fold_precision(tested, "label")).first()
     return models[best["fold"]], best["precision"]
