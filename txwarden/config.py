@@ -57,6 +57,7 @@ class JobConfig:
     features_out: str | None = None
     results_out: str | None = None
     flagged_out: str | None = None
+    models_out: str | None = None  # boosted models; a run goes on after the last month stored there
     scaled_columns: tuple[str, ...] = SCALED_COLUMNS
     dropped_columns: tuple[str, ...] = DROPPED_COLUMNS
     review_budget: int = 400
@@ -82,6 +83,7 @@ class JobConfig:
             features_out=outputs.get("preprocessed_data_file"),
             results_out=outputs.get("fraud_detection_results_file"),
             flagged_out=outputs.get("flagged_transactions_file"),
+            models_out=outputs.get("models_file"),
         )
         return replace(
             base,

@@ -19,6 +19,7 @@ from txwarden.operators.boosting import (
 )
 from txwarden.operators.evaluate import monthly_evaluation
 from txwarden.operators.folds import best_fold, fold_precision, with_folds
+from txwarden.operators.model_tables import store_model, stored_models
 from txwarden.operators.forest import fit_forest, load_forests, with_decision
 from txwarden.operators.ranking import combined_score, top_n
 from txwarden.operators.resample import adasyn, near_miss
@@ -108,20 +109,34 @@ def train_month(
 
 
 def walk_forward(
-    table: DataFrame, cfg: JobConfig, staging: Staging, last_month: int = LAST_MONTH
+    table: DataFrame,
+    cfg: JobConfig,
+    staging: Staging,
+    last_month: int = LAST_MONTH,
 ) -> dict[int, BoostedTrees]:
     """Model for each month from the second on, trained on the month before and warm
-    started from that month's model. A month after an empty one keeps the older model."""
-    training = table.where(F.col("month") < last_month)
+    started from that month's model. A month after an empty one keeps the older model.
+
+    With ``cfg.models_out`` every model is stored as soon as it is trained, and a run goes on
+    after the last one stored there."""
+    spark = table.sparkSession
+    models = stored_models(spark, cfg.models_out) if cfg.models_out else {}
+    models = {month: model for month, model in models.items() if month <= last_month}
+    start = max(models, default=FIRST_MONTH)
+    previous = models.get(start)
+    if start >= last_month:
+        return models
+    training = table.where((F.col("month") >= start) & (F.col("month") < last_month))
     train, held_out = training_sets(training, cfg, staging)
     present = {row[0] for row in held_out.select("month").distinct().collect()}
-    models: dict[int, BoostedTrees] = {}
-    previous = None
-    for month in range(FIRST_MONTH + 1, last_month + 1):
+    for month in range(start + 1, last_month + 1):
+        known = len(previous.trees) if previous else 0
         if month - 1 in present:
             previous, _ = train_month(train, held_out, month - 1, previous, cfg)
         if previous is not None:
             models[month] = previous
+            if cfg.models_out:
+                store_model(spark, cfg.models_out, month, previous, known)
     return models
 
 
