@@ -20,7 +20,7 @@ from txwarden.operators.boosting import (
 from txwarden.operators.evaluate import monthly_evaluation
 from txwarden.operators.folds import best_fold, fold_precision, with_folds
 from txwarden.operators.model_tables import store_model, stored_models
-from txwarden.operators.forest import fit_forest, load_forests, with_decision
+from txwarden.operators.forest import degree, fit_forest, is_sent, load_forests, score_forest, with_decision
 from txwarden.operators.ranking import combined_score, top_n
 from txwarden.operators.resample import adasyn, near_miss
 from txwarden.operators.vectors import feature_columns, with_features
@@ -55,8 +55,13 @@ def scored_rows(
     over the rows, so nothing is joined back, and stored, since the decision's quantile
     reads them again.
     """
-    forests = load_forests(fit_forest(table, cfg.forest, cfg.seed, row_key="rowId"))
-    scored = score_by_key(table, {"anomaly": forests, "probability": models}, "month")
+    forest = fit_forest(table, cfg.forest, cfg.seed, row_key="rowId")
+    if is_sent(forest):
+        scored = score_by_key(table, {"anomaly": load_forests(forest), "probability": models}, "month")
+        scored = scored.withColumn("anomaly", degree(F.col("anomaly")))
+    else:
+        scored = score_by_key(table, {"probability": models}, "month", drop_features=False)
+        scored = score_forest(scored, forest)
     scored = scored.withColumn("probability", sigmoid(F.col("probability")))
     scored = staging.write(scored, "scored")
     return with_decision(scored, cfg.forest.contamination)
