@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from txwarden.checks import model_sql
 from txwarden.checks.queries import BOXED, CORRELATED
 
 # Transactions, reports and events shaped from the order tables.
@@ -273,6 +274,17 @@ FEATURES_ROUNDED = (
     "avg_transaction_amount_by_hour",
 )
 
+# Features of the models: all columns of the feature table but the label and what tells it.
+MATRIX_COLUMNS = sorted(
+    set(FEATURE_COLUMNS) - {"reported_delay", "Fraud", "transactionAmount_original"}
+)
+MATRIX = model_sql.matrix(MATRIX_COLUMNS)
+FOREST = model_sql.forest(len(MATRIX_COLUMNS))
+FOREST_RANKED = """
+ranked AS (SELECT month, Fraud, amount AS transactionAmount,
+                  row_number() OVER (PARTITION BY month ORDER BY decision, id) AS review_rank FROM decided)
+"""
+
 HISTOGRAM = """
 d AS (SELECT reported_delay AS x FROM labelled WHERE reported_delay > 0),
 s AS (SELECT count(*) AS n, min(x) AS lo, max(x) AS hi,
@@ -551,6 +563,24 @@ ORACLES: dict[str, str] = {
         ("transactionAmount", "availableCash", "reported_delay", "time_since_last_transaction"),
     ),
     "feature_correlations": _with(_correlations("features", FEATURE_COLUMNS), BASE_FEATURES),
+    "isolation_forest_scores": _with(
+        "SELECT eventId, month, round(anomaly, 9) AS anomaly, round(decision, 9) AS decision FROM decided",
+        BASE_FEATURES,
+        MATRIX,
+        FOREST,
+    ),
+    "anomaly_flags": _with(ROUNDED_RESULTS, BASE_FEATURES, MATRIX, FOREST, FOREST_RANKED, RESULTS),
+    "newton_margins": _with(
+        "SELECT CAST(id AS BIGINT) AS eventId, round(margin, 9) AS margin FROM march",
+        BASE_FEATURES,
+        MATRIX,
+        model_sql.newton(),
+    ),
+    "model_tables": _with(
+        """SELECT m AS period, CAST(3 AS BIGINT) AS trees, CAST(0 AS BIGINT) AS lost,
+            CAST(3 AS BIGINT) AS ends_over_splits, CAST(count(*) AS BIGINT) AS scored
+        FROM labelled JOIN (SELECT CAST(unnest(range(2, 13)) AS INTEGER) AS m) ON m = month GROUP BY m"""
+    ),
     "velocity_five_hours": _with(FIVE_HOURS),
     "velocity_five_hours_hot": _with(FIVE_HOURS),
     "time_since_last_hot": _with(

@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txwarden.config import JobConfig
+from txwarden.config import BoostSettings, JobConfig
 from txwarden.functions.skew import SkewSettings, profile_keys
 from txwarden.functions.staging import Staging, stage
+from txwarden.functions.trees import score_by_key
 from txwarden.operators.averages import with_average_amounts
-from txwarden.operators.boosting import with_probability
+from txwarden.operators.boosting import fit_boosted_trees, with_probability
 from txwarden.operators.cleaning import drop_columns, fill_missing
 from txwarden.operators.evaluate import classification_metrics, monthly_evaluation, yearly_totals
 from txwarden.operators.explore import (
@@ -26,6 +27,8 @@ from txwarden.operators.forest import fit_forest, score_forest, with_decision
 from txwarden.operators.frequency import with_key_frequency, with_pair_frequency
 from txwarden.operators.gaps import with_gap
 from txwarden.operators.labels import join_labels, with_label_columns
+from txwarden.operators.model_tables import FIELDS as MODEL_FIELDS
+from txwarden.operators.model_tables import load_models, tree_shapes
 from txwarden.operators.profile import dataset_profile, missing_report
 from txwarden.operators.ranking import combined_score, flagged_rows, top_n
 from txwarden.operators.report import cumulative_saved, detected_share, metric_series
@@ -44,7 +47,7 @@ from txwarden.operators.velocity import account_window_features, with_velocity
 from txwarden.plans.detection import (
     anomaly_review,
     detection_job,
-    model_table,
+    model_table as model_rows,
     walk_forward,
 )
 from txwarden.plans.explore import correlated_columns
@@ -590,15 +593,40 @@ def feature_correlations(spark, sf):
 
 def isolation_forest_scores(spark, sf):
     """Forests of every month on its whole feature matrix."""
-    table = model_table(_features(spark, sf), JobConfig(), Staging(spark))
-    scored = stage(score_forest(table, stage(fit_forest(table, row_key="rowId"))))
-    return with_decision(scored, 0.1).select("eventId", "month", "anomaly", "decision")
+    table = model_rows(_features(spark, sf), JobConfig(), Staging(spark))
+    scored = stage(score_forest(table, fit_forest(table, row_key="rowId")))
+    return with_decision(scored, 0.1).select("eventId", "month", _r("anomaly", 9), _r("decision", 9))
+
+
+def newton_margins(spark, sf):
+    """Margins of March after a boosting round on January and one, warm started, on February."""
+    table = model_rows(_features(spark, sf), JobConfig(), Staging(spark)).withColumn("label", F.col("Fraud"))
+    settings, model = BoostSettings(rounds=1, depth=2), None
+    for month in (1, 2):
+        model = fit_boosted_trees(table.where(F.col("month") == month), settings, model)
+    scored = score_by_key(table.where(F.col("month") == 3), {"margin": {3: model}}, "month")
+    return scored.select("eventId", _r("margin", 9))
+
+
+def model_tables(spark, sf):
+    """Models of all months stored as rows, one a node, and loaded again: their trees are whole, and
+    the trees loaded score every row as the trained ones do."""
+    staging = Staging(spark)
+    small = BoostSettings(rounds=3, folds=2, depth=3)
+    cfg = JobConfig(boost=small, models_out=f"{staging.path}/models")
+    table = model_rows(_features(spark, sf), cfg, staging)
+    trained = walk_forward(table, cfg, staging)
+    stored = spark.read.schema(MODEL_FIELDS).parquet(cfg.models_out)
+    both = score_by_key(table, {"a": trained, "b": load_models(stored)}, "month")
+    same = both.where(F.col("a") == F.col("b")).groupBy(F.col("month").alias("period"))
+    shapes = tree_shapes(stored).join(same.agg(F.count(F.lit(1)).alias("scored")), "period")
+    return shapes.select("period", "trees", "lost", (F.col("ends") - F.col("splits")).alias("ends_over_splits"), "scored")
 
 
 def boosted_probability(spark, sf):
     """Probability of every row by walk-forward training, null in the first month."""
     staging, cfg = Staging(spark), JobConfig()
-    table = model_table(_features(spark, sf), cfg, staging)
+    table = model_rows(_features(spark, sf), cfg, staging)
     return with_probability(table, walk_forward(table, cfg, staging), "month").select(
         "eventId", "month", "Fraud", "probability"
     )
@@ -606,7 +634,7 @@ def boosted_probability(spark, sf):
 
 def anomaly_flags(spark, sf):
     """The 400 most anomalous rows per month on the full feature table, judged."""
-    return monthly_evaluation(*anomaly_review(_features(spark, sf)))
+    return _rounded_results(monthly_evaluation(*anomaly_review(_features(spark, sf))))
 
 
 def monthly_detection(spark, sf):
@@ -712,6 +740,8 @@ QUERIES: dict[str, Query] = {
     "feature_boxes": feature_boxes,
     "feature_correlations": feature_correlations,
     "isolation_forest_scores": isolation_forest_scores,
+    "newton_margins": newton_margins,
+    "model_tables": model_tables,
     "anomaly_flags": anomaly_flags,
     "boosted_probability": boosted_probability,
     "monthly_detection": monthly_detection,
