@@ -189,33 +189,48 @@ decided AS (SELECT scored.*, anomaly - cut AS decision
 """
 
 CLASSES = """
-points AS (SELECT month, CAST(eventId AS VARCHAR) AS row_id, Fraud AS label,
-                  transactionAmount AS x, coalesce(availableCash, 0) AS y FROM labelled),
+points AS MATERIALIZED (SELECT month, id AS row_id, Fraud AS label, f FROM matrix),
 sizes AS (SELECT month, count(*) FILTER (label = 1) AS ones, count(*) FILTER (label = 0) AS zeros
           FROM points GROUP BY month)
 """
 # In every month label 1 is the rarer class of this data; the last column checks it.
 ADASYN = """
 near AS (SELECT a.month, a.row_id AS parent, b.label,
-                row_number() OVER (PARTITION BY a.month, a.row_id
-                    ORDER BY sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)),
-                             b.row_id) AS rn
+                row_number() OVER (PARTITION BY a.month, a.row_id ORDER BY list_distance(a.f, b.f), b.row_id) AS rn
          FROM points a JOIN points b ON a.month = b.month AND a.row_id <> b.row_id
          JOIN sizes ON sizes.month = a.month
          WHERE a.label = 1 AND ones < zeros AND ones > 5),
 share AS (SELECT month, parent, count(*) FILTER (label = 0) / 5.0 AS r
           FROM near WHERE rn <= 5 GROUP BY month, parent),
-born AS (SELECT month, parent,
+born AS MATERIALIZED (
+         SELECT month, parent,
                 CAST(round_even(r / sum(r) OVER (PARTITION BY month) * (zeros - ones), 0)
                      AS BIGINT) AS new_rows
          FROM share JOIN sizes USING (month))
 """
+SYNTHETIC = """
+mates AS MATERIALIZED (
+    SELECT month, parent, rn, f FROM (
+        SELECT a.month, a.row_id AS parent, b.f,
+               row_number() OVER (PARTITION BY a.month, a.row_id ORDER BY list_distance(a.f, b.f), b.row_id) AS rn
+        FROM points a JOIN points b ON a.month = b.month AND a.row_id <> b.row_id AND b.label = 1
+        WHERE a.label = 1)
+    WHERE rn <= 5),
+drawn AS (
+    SELECT month, parent, i, md5('42|' || month || '|' || parent || '|' || i) AS m
+    FROM (SELECT month, parent, unnest(range(1, new_rows + 1)) AS i FROM born WHERE new_rows > 0)),
+synthetic AS (
+    SELECT d.month, 's' || d.parent || '-' || i AS row_id,
+           ('0x' || substr(m, 14, 13))::BIGINT::DOUBLE / 4503599627370496::DOUBLE AS u, p.f AS a, mates.f AS b
+    FROM drawn d JOIN points p ON p.month = d.month AND p.row_id = d.parent
+    JOIN mates ON mates.month = d.month AND mates.parent = d.parent
+        AND mates.rn = 1 + ('0x' || substr(m, 1, 13))::BIGINT % 5),
+moved AS (SELECT month, row_id, list_transform(range(1, len(a) + 1), lambda i: a[i] + u * (b[i] - a[i])) AS f
+          FROM synthetic)
+"""
 NEAR_MISS = """
-near AS (SELECT a.month, a.row_id,
-                sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS d,
-                row_number() OVER (PARTITION BY a.month, a.row_id
-                    ORDER BY sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)),
-                             b.row_id) AS rn
+near AS (SELECT a.month, a.row_id, list_distance(a.f, b.f) AS d,
+                row_number() OVER (PARTITION BY a.month, a.row_id ORDER BY list_distance(a.f, b.f), b.row_id) AS rn
          FROM points a JOIN points b ON a.month = b.month AND b.label = 1
          WHERE a.label = 0),
 mean AS (SELECT month, row_id, sum(d) / count(*) AS m FROM near WHERE rn <= 3
@@ -538,11 +553,21 @@ ORACLES: dict[str, str] = {
             round(probability * anomaly, 6) AS positive_score FROM decided""",
         DECIDED,
     ),
-    "near_miss": _with("SELECT * FROM kept", CLASSES, NEAR_MISS),
-    "adasyn": _with("SELECT * FROM born WHERE new_rows > 0", CLASSES, ADASYN),
+    "near_miss": _with("SELECT * FROM kept", BASE_FEATURES, MATRIX, CLASSES, NEAR_MISS),
+    "adasyn": _with(
+        """SELECT month, row_id, CAST(1 AS INTEGER) AS label, round(list_sum(f), 3) AS total,
+            round(list_sum(list_transform(f, lambda x, i: x * i)), 2) AS spread FROM moved""",
+        BASE_FEATURES,
+        MATRIX,
+        CLASSES,
+        ADASYN,
+        SYNTHETIC,
+    ),
     "balanced_classes": _with(
         """SELECT month, 0 AS label, least(zeros, ones + extra) AS count FROM grown
         UNION ALL SELECT month, 1 AS label, least(zeros, ones + extra) AS count FROM grown""",
+        BASE_FEATURES,
+        MATRIX,
         CLASSES,
         ADASYN,
         """grown AS (SELECT month, ones, zeros, CAST(sum(new_rows) AS BIGINT) AS extra

@@ -532,10 +532,9 @@ def combined_score_query(spark, sf):
 
 
 def _two_classes(spark, sf) -> DataFrame:
-    table = with_features(_dated(spark, sf), ["transactionAmount", "availableCash"])
-    return stage(table.select(
-        "month", _text("eventId").alias("row_id"), F.col("Fraud").alias("label"), "features"
-    ))
+    """Every row's whole feature array, as the models are trained on."""
+    table = model_rows(_features(spark, sf), JobConfig(), Staging(spark))
+    return table.select("month", F.col("rowId").alias("row_id"), F.col("Fraud").alias("label"), "features")
 
 
 def near_miss_query(spark, sf):
@@ -543,10 +542,13 @@ def near_miss_query(spark, sf):
 
 
 def adasyn_query(spark, sf):
-    """New rows per minority row of each month."""
+    """The synthetic rows of each month, each with sums over its point."""
     born = adasyn(_two_classes(spark, sf), ["month"]).where("synthetic")
-    parent = F.regexp_extract("row_id", "^s(.*)-[0-9]+$", 1).alias("parent")
-    return born.groupBy("month", parent).agg(F.count(F.lit(1)).alias("new_rows"))
+    total = F.aggregate("features", F.lit(0.0), lambda a, x: a + x)
+    spread = F.aggregate(
+        F.transform("features", lambda x, i: x * (i + 1)), F.lit(0.0), lambda a, x: a + x
+    )
+    return born.select("month", "row_id", "label", F.round(total, 3).alias("total"), F.round(spread, 2).alias("spread"))
 
 
 def balanced_classes(spark, sf):
