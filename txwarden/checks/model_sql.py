@@ -6,12 +6,12 @@ FOREST_TREES, FOREST_ROWS, SEED = 100, 256, 42
 LEVELS = 8  # a sample of 256 rows is cut at most so often
 
 
-def matrix(columns: list[str]) -> str:
+def matrix(columns: list[str], month: str = "month", source: str = "features") -> str:
     """matrix(month, id, Fraud, amount, f): the feature array of every row of ``features``."""
     cells = ", ".join(f'coalesce(CAST("{c}" AS DOUBLE), 0)' for c in columns)
     return f"""matrix AS MATERIALIZED (
-    SELECT eventId, month, CAST(eventId AS VARCHAR) AS id, Fraud, transactionAmount_original AS amount,
-           [{cells}] AS f FROM features)"""
+    SELECT eventId, {month} AS month, CAST(eventId AS VARCHAR) AS id, Fraud, transactionAmount_original AS amount,
+           [{cells}] AS f FROM {source})"""
 
 
 def _path(n: str) -> str:

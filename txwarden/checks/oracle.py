@@ -295,6 +295,13 @@ MATRIX_COLUMNS = sorted(
 )
 MATRIX = model_sql.matrix(MATRIX_COLUMNS)
 FOREST = model_sql.forest(len(MATRIX_COLUMNS))
+YEAR_MONTHS = """
+dated AS (SELECT *, CAST(year(transactionTime) * 100 + month(transactionTime) AS INTEGER) AS year_month
+          FROM labelled)
+"""
+YEAR_MONTH_MATRIX = model_sql.matrix(
+    MATRIX_COLUMNS, "year_month", "features JOIN (SELECT eventId, year_month FROM dated) USING (eventId)"
+)
 FOREST_RANKED = """
 ranked AS (SELECT month, Fraud, amount AS transactionAmount,
                   row_number() OVER (PARTITION BY month ORDER BY decision, id) AS review_rank FROM decided)
@@ -595,6 +602,37 @@ ORACLES: dict[str, str] = {
         FOREST,
     ),
     "anomaly_flags": _with(ROUNDED_RESULTS, BASE_FEATURES, MATRIX, FOREST, FOREST_RANKED, RESULTS),
+    "year_month_slices": _with(
+        """SELECT scored_month, role, CAST(coalesce(n, 0) AS BIGINT) AS rows, amount FROM (
+            SELECT a.m AS scored_month, role, CASE WHEN role = 'current' THEN a.m ELSE b.m END AS m
+            FROM axis a JOIN axis b ON b.i = a.i - 1 CROSS JOIN (VALUES ('current'), ('previous')) r(role))
+        LEFT JOIN (SELECT year_month AS m, count(*) AS n, round(sum(transactionAmount), 2) AS amount
+                   FROM dated GROUP BY year_month) USING (m)""",
+        YEAR_MONTHS,
+        """axis AS (SELECT CAST(year(d) * 100 + month(d) AS INTEGER) AS m, row_number() OVER (ORDER BY d) AS i
+            FROM (SELECT unnest(generate_series((SELECT date_trunc('month', min(transactionTime)) FROM tx)::TIMESTAMP,
+                (SELECT max(transactionTime) FROM tx)::TIMESTAMP, INTERVAL 1 MONTH)) AS d))""",
+    ),
+    "year_month_top_n": _with(
+        """SELECT year_month, eventId, CAST(place AS INTEGER) AS review_rank FROM (
+            SELECT year_month, eventId, row_number() OVER (PARTITION BY year_month
+                ORDER BY -transactionAmount, eventId) AS place FROM dated) WHERE place <= 10""",
+        YEAR_MONTHS,
+    ),
+    "year_month_flags": _with(
+        ROUNDED_RESULTS.replace("SELECT month", "SELECT month AS year_month"),
+        YEAR_MONTHS,
+        BASE_FEATURES,
+        YEAR_MONTH_MATRIX,
+        FOREST,
+        FOREST_RANKED,
+        RESULTS.replace("400", "20"),
+    ),
+    "year_month_models": _with(
+        """SELECT year_month, count(*) AS rows FROM dated
+        WHERE year_month > (SELECT min(year_month) FROM dated) GROUP BY year_month""",
+        YEAR_MONTHS,
+    ),
     "newton_margins": _with(
         "SELECT CAST(id AS BIGINT) AS eventId, round(margin, 9) AS margin FROM march",
         BASE_FEATURES,

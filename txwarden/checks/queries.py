@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txwarden.config import BoostSettings, JobConfig
+from txwarden.functions.periods import YEAR_MONTH, period_axis, year_month
 from txwarden.functions.skew import SkewSettings, profile_keys
 from txwarden.functions.staging import Staging, stage
 from txwarden.functions.trees import score_by_key
@@ -415,9 +417,9 @@ RESULT_COLUMNS = (
 )
 
 
-def _rounded_results(results: DataFrame) -> DataFrame:
+def _rounded_results(results: DataFrame, period: str = "month") -> DataFrame:
     return results.select(
-        "month",
+        period,
         _r("precision"),
         _r("f1_score"),
         "true_frauds_flagged",
@@ -639,6 +641,47 @@ def anomaly_flags(spark, sf):
     return _rounded_results(monthly_evaluation(*anomaly_review(_features(spark, sf))))
 
 
+def _by_year_month(spark, sf) -> DataFrame:
+    return _dated(spark, sf).withColumn(YEAR_MONTH, year_month("transactionTime"))
+
+
+def year_month_slices(spark, sf):
+    """Rows and amount of each scored month of every year, and of the month it learns from."""
+    dated = stage(_by_year_month(spark, sf))
+    sums = dated.groupBy(YEAR_MONTH).agg(F.count(F.lit(1)).alias("n"), F.sum("transactionAmount").alias("sum"))
+    axis = period_axis(dated, YEAR_MONTH)
+    pairs = [(p, role, q) for p, q in zip(axis[1:], axis) for role, q in (("current", p), ("previous", q))]
+    wanted = spark.createDataFrame(pairs, "scored_month int, role string, year_month int")
+    return wanted.join(sums, YEAR_MONTH, "left").select(
+        "scored_month", "role", F.coalesce("n", F.lit(0)).alias("rows"), F.round("sum", 2).alias("amount")
+    )
+
+
+def year_month_top_n(spark, sf):
+    """The ten largest amounts of each month of every year."""
+    ranked = _by_year_month(spark, sf).withColumn("score", -F.col("transactionAmount"))
+    return top_n(ranked, "score", 10, (YEAR_MONTH,)).select(YEAR_MONTH, "eventId", "review_rank")
+
+
+def year_month_flags(spark, sf):
+    """As ``anomaly_flags``, every year's months on their own."""
+    cfg = replace(JobConfig(), period=YEAR_MONTH, review_budget=20)
+    features = feature_table(stage(transactions(spark, sf)), reports(spark, sf), cfg)
+    scored, flagged = anomaly_review(features, cfg)
+    return _rounded_results(monthly_evaluation(scored, flagged, YEAR_MONTH), YEAR_MONTH)
+
+
+def year_month_models(spark, sf):
+    """Rows with a probability by the walk-forward models of every year's months."""
+    cfg = replace(JobConfig(), period=YEAR_MONTH, boost=BoostSettings(rounds=1, folds=2, depth=2))
+    staging = Staging(spark)
+    features = feature_table(stage(transactions(spark, sf)), reports(spark, sf), cfg)
+    table = model_rows(features, cfg, staging)
+    models = walk_forward(table, cfg, staging)
+    scored = with_probability(table, models, YEAR_MONTH).where(F.col("probability").between(0, 1))
+    return scored.groupBy(YEAR_MONTH).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def monthly_detection(spark, sf):
     return detection_job(_features(spark, sf))["results"]
 
@@ -746,6 +789,10 @@ QUERIES: dict[str, Query] = {
     "model_tables": model_tables,
     "anomaly_flags": anomaly_flags,
     "boosted_probability": boosted_probability,
+    "year_month_slices": year_month_slices,
+    "year_month_top_n": year_month_top_n,
+    "year_month_flags": year_month_flags,
+    "year_month_models": year_month_models,
     "monthly_detection": monthly_detection,
     "full_run": full_run,
     "full_run_csv": full_run_csv,

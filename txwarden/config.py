@@ -61,6 +61,7 @@ class JobConfig:
     scaled_columns: tuple[str, ...] = SCALED_COLUMNS
     dropped_columns: tuple[str, ...] = DROPPED_COLUMNS
     review_budget: int = 400
+    period: str = "month"  # of the year, all years together; or "year_month", every year's own
     seed: int = 42
     velocity_mode: str = "bin"
     score_mode: str = "product"
@@ -89,6 +90,7 @@ class JobConfig:
             base,
             scaled_columns=tuple(model.get("numeric_columns_to_scale", base.scaled_columns)),
             dropped_columns=tuple(model.get("columns_to_drop", base.dropped_columns)),
+            period=model.get("period", base.period),
             seed=model.get("random_state", base.seed),
             forest=replace(
                 base.forest, contamination=model.get("contamination", base.forest.contamination)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txwarden.functions.periods import MONTH, YEAR_MONTH, axis_table
+
 
 def precision_of(true_positives: Column, flagged: Column) -> Column:
     """TP / (TP + FP), 0 when nothing is flagged."""
@@ -41,8 +43,9 @@ def monthly_evaluation(
     """Result per month: what the review found against what there was.
 
     All flagged rows count as predicted positive and are judged on their own, so recall
-    is 1 as soon as one is right. With ``period="month"`` all twelve months appear; one
-    without rows has zero counts and null precision and F1.
+    is 1 as soon as one is right. With ``period="month"`` all twelve months appear, with
+    "year_month" all from the first to the last; one without rows has zero counts and null
+    precision and F1.
     """
     fraud = F.col(label) == 1
     found = flagged.groupBy(period).agg(
@@ -54,9 +57,8 @@ def monthly_evaluation(
         F.count_if(fraud).alias("true_frauds"),
         F.sum(F.when(fraud, F.col(amount))).alias("potential_amount_saved"),
     )
-    if period == "month":
-        months = rows.sparkSession.range(1, 13).select(F.col("id").cast("int").alias(period))
-        present = months.join(present, period, "left")
+    if period in (MONTH, YEAR_MONTH):
+        present = axis_table(rows, period).join(present, period, "left")
     tp, n = F.col("true_frauds_flagged"), F.col("flagged")
     return (
         present.join(found, period, "left")

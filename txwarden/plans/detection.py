@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from txwarden.config import JobConfig
 from txwarden.functions.ordering import with_row_id
+from txwarden.functions.periods import YEAR_MONTH, period_axis
 from txwarden.functions.staging import Staging
 from txwarden.functions.trees import score_by_key
 from txwarden.operators.boosting import (
@@ -25,21 +26,17 @@ from txwarden.operators.ranking import combined_score, top_n
 from txwarden.operators.resample import adasyn, near_miss
 from txwarden.operators.vectors import feature_columns, with_features
 
-FIRST_MONTH = 1
-LAST_MONTH = 12
-
-
 def model_table(features: DataFrame, cfg: JobConfig, staging: Staging) -> DataFrame:
-    """(eventId, rowId, features, Fraud, amount) per month, staged in one folder per month so
-    that a month's slice is a pruned read. Events with several reports are several rows, which
+    """(eventId, rowId, features, Fraud, amount) per period, staged in one folder per period so
+    that a period's slice is a pruned read. Events with several reports are several rows, which
     ``rowId`` tells apart."""
-    columns = feature_columns(features, cfg.leak_reported_delay)
+    columns = feature_columns(features, cfg.leak_reported_delay, (YEAR_MONTH,))
     table = with_features(features, columns).select(
-        "eventId", "features", "Fraud", "transactionAmount_original", "month"
+        "eventId", "features", "Fraud", "transactionAmount_original", cfg.period
     )
-    table = with_row_id(table.where(F.col("month").isNotNull()), "eventId", "rowId")
-    columns = ["eventId", "rowId", "features", "Fraud", "transactionAmount_original", "month"]
-    return staging.write(table.select(*columns), "model", ("month",))
+    table = with_row_id(table.where(F.col(cfg.period).isNotNull()), "eventId", "rowId")
+    columns = ["eventId", "rowId", "features", "Fraud", "transactionAmount_original", cfg.period]
+    return staging.write(table.select(*columns), "model", (cfg.period,))
 
 
 def month_slice(df: DataFrame, month: int) -> DataFrame:
@@ -55,16 +52,17 @@ def scored_rows(
     over the rows, so nothing is joined back, and stored, since the decision's quantile
     reads them again.
     """
-    forest = fit_forest(table, cfg.forest, cfg.seed, row_key="rowId")
+    forest = fit_forest(table, cfg.forest, cfg.seed, cfg.period, "rowId")
     if is_sent(forest):
-        scored = score_by_key(table, {"anomaly": load_forests(forest), "probability": models}, "month")
+        forests = load_forests(forest, cfg.period)
+        scored = score_by_key(table, {"anomaly": forests, "probability": models}, cfg.period)
         scored = scored.withColumn("anomaly", degree(F.col("anomaly")))
     else:
-        scored = score_by_key(table, {"probability": models}, "month", drop_features=False)
-        scored = score_forest(scored, forest)
+        scored = score_by_key(table, {"probability": models}, cfg.period, drop_features=False)
+        scored = score_forest(scored, forest, cfg.period)
     scored = scored.withColumn("probability", sigmoid(F.col("probability")))
     scored = staging.write(scored, "scored")
-    return with_decision(scored, cfg.forest.contamination)
+    return with_decision(scored, cfg.forest.contamination, by=(cfg.period,))
 
 
 def training_sets(table: DataFrame, cfg: JobConfig, staging: Staging) -> tuple[DataFrame, DataFrame]:
@@ -74,9 +72,9 @@ def training_sets(table: DataFrame, cfg: JobConfig, staging: Staging) -> tuple[D
     the boosting itself has to go month by month.
     """
     k = cfg.boost.folds
-    folded = with_folds(table, k, "Fraud", ("month",), "rowId", cfg.seed)
+    folded = with_folds(table, k, "Fraud", (cfg.period,), "rowId", cfg.seed)
     folded = folded.select(
-        "month",
+        F.col(cfg.period).alias("month"),
         "fold",
         F.col("rowId").alias("row_id"),
         F.col("Fraud").alias("label"),
@@ -117,31 +115,34 @@ def walk_forward(
     table: DataFrame,
     cfg: JobConfig,
     staging: Staging,
-    last_month: int = LAST_MONTH,
+    last: int | None = None,
 ) -> dict[int, BoostedTrees]:
-    """Model for each month from the second on, trained on the month before and warm
-    started from that month's model. A month after an empty one keeps the older model.
+    """Model for each period (month of the year, or year and month) from the second on, up to
+    ``last``, trained on the period before and warm started from that period's model. A period
+    after an empty one keeps the older model.
 
     With ``cfg.models_out`` every model is stored as soon as it is trained, and a run goes on
     after the last one stored there."""
     spark = table.sparkSession
+    axis = [p for p in period_axis(table, cfg.period) if last is None or p <= last]
     models = stored_models(spark, cfg.models_out) if cfg.models_out else {}
-    models = {month: model for month, model in models.items() if month <= last_month}
-    start = max(models, default=FIRST_MONTH)
-    previous = models.get(start)
-    if start >= last_month:
+    models = {p: model for p, model in models.items() if p in axis}
+    start = max(models, default=axis[0] if axis else 0)
+    ahead = [p for p in axis if p > start]
+    if not ahead:
         return models
-    training = table.where((F.col("month") >= start) & (F.col("month") < last_month))
+    previous = models.get(start)
+    training = table.where((F.col(cfg.period) >= start) & (F.col(cfg.period) < ahead[-1]))
     train, held_out = training_sets(training, cfg, staging)
     present = {row[0] for row in held_out.select("month").distinct().collect()}
-    for month in range(start + 1, last_month + 1):
+    for before, period in zip([start, *ahead], ahead, strict=False):
         known = len(previous.trees) if previous else 0
-        if month - 1 in present:
-            previous, _ = train_month(train, held_out, month - 1, previous, cfg)
+        if before in present:
+            previous, _ = train_month(train, held_out, before, previous, cfg)
         if previous is not None:
-            models[month] = previous
+            models[period] = previous
             if cfg.models_out:
-                store_model(spark, cfg.models_out, month, previous, known)
+                store_model(spark, cfg.models_out, period, previous, known)
     return models
 
 
@@ -157,7 +158,7 @@ def review_list(
     both = combined_score(mode=cfg.score_mode)
     score = F.when(F.col("probability").isNull(), alone).otherwise(both)
     scored = scored.withColumn("score", score)
-    return scored, top_n(scored, "score", cfg.review_budget, row_key="rowId")
+    return scored, top_n(scored, "score", cfg.review_budget, (cfg.period,), "rowId")
 
 
 def anomaly_review(
@@ -166,7 +167,7 @@ def anomaly_review(
     """(scored rows, flagged rows) by anomaly alone, every month."""
     staging = staging or Staging(features.sparkSession)
     scored = scored_rows(model_table(features, cfg, staging), {}, cfg, staging)
-    return scored, top_n(scored, "decision", cfg.review_budget, row_key="rowId")
+    return scored, top_n(scored, "decision", cfg.review_budget, (cfg.period,), "rowId")
 
 
 def detection_job(
@@ -176,5 +177,5 @@ def detection_job(
     return {
         "scored": scored,
         "flagged": flagged,
-        "results": monthly_evaluation(scored, flagged),
+        "results": monthly_evaluation(scored, flagged, cfg.period),
     }

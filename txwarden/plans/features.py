@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txwarden.config import JobConfig
+from txwarden.functions.periods import YEAR_MONTH, year_month
 from txwarden.functions.skew import DEFAULT_SKEW, SkewSettings, profile_keys
 from txwarden.functions.staging import Staging
 from txwarden.operators.averages import AVERAGED_KEYS, with_average_amounts
@@ -78,6 +79,8 @@ def joined_features(
         out, ["merchantId", "mcc"], skew=skew, profiles=[merchant, category], counted=timed
     )
     out = with_cash_share(with_hour_bands(with_date_parts(counted)))
+    if cfg.period == YEAR_MONTH:
+        out = out.withColumn(YEAR_MONTH, year_month("transactionTime"))
     out = with_entry_mode_columns(with_weekday_columns(out), entry_modes)
     out = with_label_columns(join_labels(out, reported, dedupe=cfg.label_dedupe, skew=skew))
     return out.withColumn("transactionAmount_original", F.col("transactionAmount"))
