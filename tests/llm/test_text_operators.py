@@ -588,3 +588,14 @@ def test_the_subpackage_is_optional():
     for file in (root / "txwarden").rglob("*.py"):
         if "llm" not in file.relative_to(root).parts:
             assert "txwarden.llm" not in file.read_text()
+
+
+def test_mix_of_repeated_ids_does_not_depend_on_order(spark):
+    """Ids that many different texts of one size share, and null ids."""
+    rows = [(i % 5 if i % 7 else None, f"w{i} " + "x " * (i % 3), f"s{i % 2}") for i in range(400)]
+    found = []
+    for turn, n in ((1, 1), (-1, 4), (3, 9)):
+        df = spark.createDataFrame(rows[::turn] if turn != 3 else sorted(rows, key=str), "doc_id long, text string, source string")
+        mixed = pareto_mix(df.repartition(n), keep=("text",))
+        found.append(sorted((r["doc_id"] or -1, r["text"], r["taken"]) for r in mixed.collect()))
+    assert found[0] == found[1] == found[2]

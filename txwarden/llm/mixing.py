@@ -11,9 +11,9 @@ No source is sorted in one task: ranks are counted in buckets, the bucket in whi
 is reached is found from the counts, and only its documents, a bounded number, are ordered.
 
 Defined cases: null or blank text has size 0 and takes 0 words; a null source is a source of
-its own, last in order; documents with the same id share ``u`` and are ordered by size, then
-arbitrarily among equal sizes, which changes no sum; with null ids ``u`` comes from the text; an empty table gives an empty
-table. Columns not named in the call are ignored.
+its own, last in order; documents with the same id share ``u`` and are ordered by size, then by a hash
+of the text, so that only equal rows change places; with null ids ``u`` comes from the text; an
+empty table gives an empty table. Columns not named in the call are ignored.
 """
 
 from __future__ import annotations
@@ -88,6 +88,7 @@ def pareto_mix(
         F.col(quoted(source_col)).cast("string").alias("source"),
         word_count(text).alias("size"),
         uniform(F.lit(str(seed)), F.coalesce(name.cast("string"), F.md5(text))).alias("u"),
+        F.xxhash64(text).alias("tie"),
         (F.lit(1.0) if importance is None else importance.cast("double")).alias("importance"),
         *[F.col(quoted(k)).alias(f"keep_{i}") for i, k in enumerate(keep)],
     )
@@ -107,7 +108,7 @@ def pareto_mix(
     d = d.withColumn("rank", F.when(F.col("p") > 0, F.col("u") / (1 - F.col("u")) / odds))
     place = F.floor(F.col("rank") / (1 + F.col("rank")) * buckets).cast("long")
     d = d.withColumn("bucket", F.least(place, F.lit(buckets - 1))).select(
-        "id", "source", "size", "source_size", "target", "whole", "p", "rank", "bucket", *[f"keep_{i}" for i in range(len(keep))]
+        "id", "source", "size", "tie", "source_size", "target", "whole", "p", "rank", "bucket", *[f"keep_{i}" for i in range(len(keep))]
     )
 
     counts = (
@@ -133,7 +134,7 @@ def pareto_mix(
     sure = d.filter(~F.coalesce(F.col("bucket") == F.col("edge"), F.lit(False)))
     sure = sure.withColumn("extra", F.coalesce(F.col("bucket") < F.col("edge"), F.lit(False)))
     edge = d.filter(F.coalesce(F.col("bucket") == F.col("edge"), F.lit(False)))
-    order = Window.partitionBy("source").orderBy("rank", F.col("id").asc_nulls_last(), "size")
+    order = Window.partitionBy("source").orderBy("rank", F.col("id").asc_nulls_last(), "size", "tie")
     upto = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
     # A document goes in if at least half of it lies below the quota.
     middle = F.col("before") + upto - F.col("size") / 2
