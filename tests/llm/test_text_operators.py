@@ -599,3 +599,11 @@ def test_mix_of_repeated_ids_does_not_depend_on_order(spark):
         mixed = pareto_mix(df.repartition(n), keep=("text",))
         found.append(sorted((r["doc_id"] or -1, r["text"], r["taken"]) for r in mixed.collect()))
     assert found[0] == found[1] == found[2]
+
+
+def test_repeated_pages_have_one_request_each(spark, tmp_path):
+    rows = [(7, "http://a", "same")] * 300 + [(None, None, None)] * 30 + [(8, "http://b", "same"), (9, "http://c", "own")]
+    write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4), f"{tmp_path}/w")
+    found = assemble(read_warc(spark, f"{tmp_path}/w")).collect()
+    assert len(found) == 332
+    assert {(len(r["requests"]), len(r["metadata"])) for r in found} == {(1, 1)}

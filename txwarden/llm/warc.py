@@ -312,7 +312,8 @@ def read_warc(spark: SparkSession, path: str, *, payload: bool = True) -> DataFr
 
 def assemble(records: DataFrame) -> DataFrame:
     """One nested row per capture: the response or revisit, and the arrays ``requests`` and
-    ``metadata`` of the records concurrent to it, whichever side names the other."""
+    ``metadata`` of the records concurrent to it, whichever side names the other. Repeated pages
+    have equal records with one id; each of their captures has such a record once."""
     inner = F.struct("record_id", "target_uri", "fields", "payload")
     hubs = records.filter(F.col("type").isin("response", "revisit"))
     members = records.filter(F.col("type").isin("request", "metadata"))
@@ -322,9 +323,9 @@ def assemble(records: DataFrame) -> DataFrame:
         "hub", "type", inner.alias("member")
     )
     of = lambda kind: F.collect_list(F.when(F.col("type") == kind, F.col("member")))
-    around = (
-        named.union(back).groupBy("hub").agg(of("request").alias("requests"), of("metadata").alias("metadata"))
-    )
+    # a record that was written several times, for repeated pages, is one
+    once = named.union(back).groupBy("hub", "type", F.col("member.record_id").alias("own")).agg(F.first("member").alias("member"))
+    around = once.groupBy("hub").agg(of("request").alias("requests"), of("metadata").alias("metadata"))
     out = hubs.join(around, hubs["record_id"] == around["hub"], "left")
     none = F.array().cast(around.schema["requests"].dataType)
     return out.select(
