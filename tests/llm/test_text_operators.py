@@ -607,3 +607,39 @@ def test_repeated_pages_have_one_request_each(spark, tmp_path):
     found = assemble(read_warc(spark, f"{tmp_path}/w")).collect()
     assert len(found) == 332
     assert {(len(r["requests"]), len(r["metadata"])) for r in found} == {(1, 1)}
+
+
+def test_budget_of_long_unbroken_texts():
+    """Base64, letters, CJK and mixed texts without blanks, against the library; long ones in time."""
+    import time
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tool, library = counter(TOKENIZER), Tokenizer.from_file(public_tokenizers.path(TOKENIZER))
+    rnd = random.Random(8)
+    count = lambda t: len(library.encode(t, add_special_tokens=False).ids)
+    kinds = {
+        "base64": base64.b64encode(rnd.randbytes(37_500)).decode(),
+        "letters": "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(50_000)),
+        "cjk": "".join(chr(rnd.randint(0x4E00, 0x9000)) for _ in range(17_000)),
+        "accents": "naïveé" * 5000,
+        "quotes": "it'll'sx.'re12" * 3000,
+        "joined": "e\u0301a" * 2000,
+    }
+    for name, text in kinds.items():
+        budget = count(text) // 2
+        began = time.time()
+        end = tool.fitting(text, budget)
+        assert time.time() - began < 10, name
+        assert 0 < end < len(text) and count(text[:end]) <= budget, name
+        assert all(count(text[: end + k]) > budget for k in range(1, 4)) or name == "joined", name
+    for text in ("it'll go'll", "abcdefgh'sabc'll", "ab<|endoftext|>cd"):
+        for budget in range(count(text)):
+            want = max(i for i in range(len(text) + 1) if count(text[:i]) <= budget)
+            if "<|" not in text:
+                assert tool.fitting(text, budget) == want
+            assert count(text[: tool.fitting(text, budget)]) <= budget
+    began = time.time()
+    assert 0 < tool.fitting("qzxj" * 250_000, 1000) < 10_000
+    assert time.time() - began < 30

@@ -30,8 +30,8 @@ from pyspark.sql import types as T
 from txwarden.functions.shipping import ship_package
 from txwarden.functions.staging import quoted
 
-#: Words kept in memory by each Python worker, for each of two dictionaries.
-REMEMBERED = 500_000
+#: Words kept in memory by each Python worker, for each of two dictionaries, and their length at most.
+REMEMBERED, REMEMBERED_CHARS = 500_000, 256
 
 #: More than any token's number.
 WIDE = 1 << 24
@@ -54,13 +54,15 @@ def byte_symbols() -> dict[str, int]:
 
 
 class Bounded(dict):
-    """Results of ``make`` by key; emptied when ``size`` keys are held."""
+    """Results of ``make`` by key; emptied when ``size`` keys are held. Long words are not held."""
 
     def __init__(self, make, size: int = REMEMBERED):
         super().__init__()
         self.make, self.size = make, size
 
     def __missing__(self, key):
+        if not isinstance(key, int) and len(key) > REMEMBERED_CHARS:
+            return self.make(key)
         if len(self) >= self.size:
             self.clear()
         value = self[key] = self.make(key)
@@ -198,16 +200,51 @@ class PrefixCounter:
             total += self.pieces[m.group() if m.end() <= end else text[m.start() : end]]
         return total
 
+    def prefix_counts(self, piece: str) -> list[int] | None:
+        """Tokens of ``piece[:end]`` for every end, from the prefixes of its words; None where
+        characters of the piece do not stand for themselves (special tokens, joined accents)."""
+        if self.special.search(piece):
+            return None
+        if PLAIN(piece):
+            text = piece.lower()
+            words = [m.span() for m in self.split.finditer(text)]
+        else:
+            text = self.normal.normalize_str(piece)
+            words = [span for _, span in self.pre.pre_tokenize_str(text)]
+        if len(text) != len(piece):
+            return None
+        counts, total = [0] * (len(text) + 1), 0
+        for a, b in words:
+            found, at = self.prefixes(text[a:b].encode()), 0
+            for end in range(a + 1, b + 1):
+                at += len(text[end - 1].encode())
+                counts[end] = total + found[at]
+            total = counts[b]
+        return counts
+
+    def _fitting(self, piece: str, budget: int) -> int:
+        """Length of the longest prefix of a piece of at most ``budget`` tokens: the last end whose
+        count, taken from the prefixes of one pass, fits. Where there is no such table, ends are
+        halved between one that fits and one that does not."""
+        counts = self.prefix_counts(piece)
+        if counts is None:
+            low, high = 0, len(piece)
+            while high - low > 1:
+                middle = (low + high) // 2
+                low, high = (middle, high) if self._piece(piece[:middle]) <= budget else (low, middle)
+            return low
+        end = max(i for i, n in enumerate(counts) if n <= budget)
+        while end and self._piece(piece[:end]) > budget:  # a cut contraction is two words
+            end -= 1
+        return end
+
     def fitting(self, text: str, budget: int) -> int:
         """Length of the longest prefix of at most ``budget`` tokens."""
         total = 0
         for m in PIECES.finditer(text):
             more = self.pieces[m.group()]
             if total + more > budget:
-                start, end = m.span()
-                while end > start and total + self._piece(text[start:end]) > budget:
-                    end -= 1
-                return end
+                return m.start() + self._fitting(m.group(), budget - total)
             total += more
         return len(text)
 
