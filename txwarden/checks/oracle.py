@@ -570,6 +570,19 @@ ORACLES: dict[str, str] = {
         ADASYN,
         SYNTHETIC,
     ),
+    "near_miss_projections": _with(
+        """SELECT month, 0 AS label, least(zeros, ones) AS count FROM sizes
+        UNION ALL SELECT month, 1 AS label, ones AS count FROM sizes""",
+        BASE_FEATURES,
+        MATRIX,
+        CLASSES,
+    ),
+    "training_report": _with(
+        """SELECT month, CAST(m.fold AS INTEGER) AS fold, count(*) FILTER (f.fold <> m.fold) AS rows_before,
+            count(*) FILTER (f.fold <> m.fold AND Fraud = 1) <= 5 AS skipped
+        FROM folded f CROSS JOIN range(5) m(fold) WHERE month < 12 GROUP BY ALL""",
+        FOLDED,
+    ),
     "balanced_classes": _with(
         """SELECT month, 0 AS label, least(zeros, ones + extra) AS count FROM grown
         UNION ALL SELECT month, 1 AS label, least(zeros, ones + extra) AS count FROM grown""",

@@ -47,6 +47,7 @@ from txwarden.operators.temporal import (
 from txwarden.operators.vectors import feature_columns, with_features
 from txwarden.operators.velocity import account_window_features, with_velocity
 from txwarden.plans.detection import (
+    TrainingReport,
     anomaly_review,
     detection_job,
     model_table as model_rows,
@@ -543,6 +544,21 @@ def near_miss_query(spark, sf):
     return near_miss(_two_classes(spark, sf), ["month"]).select("month", "row_id", "label")
 
 
+def near_miss_projections(spark, sf):
+    """Class sizes after under-sampling with neighbours from random projections."""
+    kept = near_miss(_two_classes(spark, sf), ["month"], method="lsh")
+    return kept.groupBy("month", "label").count()
+
+
+def training_report(spark, sf):
+    """Rows of every month's and fold's training set, and whether synthetic rows could be made."""
+    staging, report = Staging(spark), TrainingReport()
+    cfg = JobConfig(boost=BoostSettings(rounds=1, depth=2))
+    walk_forward(model_rows(_features(spark, sf), cfg, staging), cfg, staging, report=report)
+    judged = report.table(spark).where(F.col("precision").between(0, 1) & (F.col("rows_after") <= F.col("rows_before") + F.col("synthetic")))
+    return judged.select("month", "fold", "rows_before", "skipped")
+
+
 def adasyn_query(spark, sf):
     """The synthetic rows of each month, each with sums over its point."""
     born = adasyn(_two_classes(spark, sf), ["month"]).where("synthetic")
@@ -780,6 +796,8 @@ QUERIES: dict[str, Query] = {
     "combined_score": combined_score_query,
     "near_miss": near_miss_query,
     "adasyn": adasyn_query,
+    "near_miss_projections": near_miss_projections,
+    "training_report": training_report,
     "balanced_classes": balanced_classes,
     "preprocess_features": preprocess_features,
     "feature_boxes": feature_boxes,

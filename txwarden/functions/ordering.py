@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,6 +10,9 @@ from pyspark.sql import functions as F
 
 from txwarden.functions.quantiles import SMALL_ROWS, order_statistics
 
+#: Rows that one task ranks, on average.
+BUCKET_ROWS = 50_000
+
 
 def shuffle_key(key: str, seed: int) -> Column:
     """Seeded text that orders rows at random but the same way on every run."""
@@ -29,14 +33,17 @@ def with_row_id(df: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def hashed_rank(
-    df: DataFrame, by: Sequence[str], key: str, seed: int, name: str, digits: int = 3
+    df: DataFrame, by: Sequence[str], key: str, seed: int, name: str, digits: int | None = None
 ) -> DataFrame:
     """0-based rank by :func:`shuffle_key` within each ``by`` group.
 
     The leading hex digits of the hash cut a group into equal buckets that follow the
     order, so a rank is the rank inside the bucket plus the sizes of the buckets before
-    it. ``by`` must have few distinct values: the offsets hold 16^digits rows for each.
+    it. There are as many digits as leave about ``BUCKET_ROWS`` rows a bucket (counted), so a
+    task's rows do not grow with the table; ranks are the same with any.
     """
+    if digits is None:
+        digits = max(1, math.ceil(math.log(max(df.count(), 1) / BUCKET_ROWS, 16)))
     hashed = df.withColumn("_h", shuffle_key(key, seed)).withColumn(
         "_b", F.substring("_h", 1, digits)
     )
@@ -53,7 +60,7 @@ def hashed_rank(
     inside = Window.partitionBy(*by, "_b").orderBy("_h")
     return (
         hashed.withColumn("_i", F.row_number().over(inside))
-        .join(F.broadcast(offsets), same, "left")
+        .join(offsets, same, "left")  # as its size asks for: it grows with the rows, if little
         .withColumn(name, F.col("_i") - 1 + F.col("_before"))
         .drop("_h", "_b", "_i", "_before", *[f"_o_{c}" for c in (*by, "_b")])
     )

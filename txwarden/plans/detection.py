@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txwarden.config import JobConfig
@@ -65,7 +67,37 @@ def scored_rows(
     return with_decision(scored, cfg.forest.contamination, by=(cfg.period,))
 
 
-def training_sets(table: DataFrame, cfg: JobConfig, staging: Staging) -> tuple[DataFrame, DataFrame]:
+@dataclass
+class TrainingReport:
+    """What a walk leaves behind for each period and fold, filled as it goes on."""
+
+    folds: list[tuple[int, int, float, bool]] = field(default_factory=list)
+    sizes: DataFrame | None = None
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """(month, fold, precision, chosen, rows_before, synthetic, skipped, rows_after): a fold's
+        held-out precision and whether its model was kept; the rows of its training set before
+        and after balancing; ``skipped`` where no synthetic rows could be made."""
+        folds = spark.createDataFrame(self.folds, "month int, fold int, precision double, chosen boolean")
+        if self.sizes is None:
+            return folds.limit(0)
+        return folds.join(self.sizes, ["month", "fold"], "left")
+
+
+def training_sizes(grown: DataFrame, train: DataFrame) -> DataFrame:
+    synthetic = F.count_if("synthetic")
+    before = grown.groupBy("month", F.col("model").alias("fold")).agg(
+        F.count_if(~F.col("synthetic")).alias("rows_before"),
+        synthetic.alias("synthetic"),
+        (synthetic == 0).alias("skipped"),
+    )
+    after = train.groupBy("month", F.col("model").alias("fold")).agg(F.count(F.lit(1)).alias("rows_after"))
+    return before.join(after, ["month", "fold"], "left")
+
+
+def training_sets(
+    table: DataFrame, cfg: JobConfig, staging: Staging, report: TrainingReport | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Balanced training rows and held-out rows of every month and fold.
 
     Balancing needs no earlier model, so all months and folds are balanced together; only
@@ -87,7 +119,10 @@ def training_sets(table: DataFrame, cfg: JobConfig, staging: Staging) -> tuple[D
     grown = staging.write(adasyn(copies.drop("fold"), sets, seed=cfg.seed), "grown")
     even = near_miss(grown, sets, seed=cfg.seed)
     even = even.select("month", "model", "label", "features")
-    return staging.write(even, "train", sets), held_out
+    train = staging.write(even, "train", sets)
+    if report is not None:
+        report.sizes = training_sizes(grown, train)
+    return train, held_out
 
 
 def train_month(
@@ -96,7 +131,8 @@ def train_month(
     month: int,
     previous: BoostedTrees | None,
     cfg: JobConfig,
-) -> tuple[BoostedTrees, float]:
+    report: TrainingReport | None = None,
+) -> BoostedTrees:
     """Train one model per fold on ``month``, at the same time, and keep the one with the
     best held-out precision, the first among equals (also when all are 0)."""
     rows = month_slice(train, month)
@@ -107,8 +143,13 @@ def train_month(
     empty = previous or BoostedTrees(first_margin(0, 0))
     models = {fold: fitted.get(fold, empty) for fold in range(cfg.boost.folds)}
     tested = with_probability(month_slice(held_out, month).drop("row_id"), models, "fold")
-    best = best_fold(fold_precision(tested, "label")).first()
-    return models[best["fold"]], best["precision"]
+    precisions = fold_precision(tested, "label")
+    if report is None:
+        return models[best_fold(precisions).first()["fold"]]
+    found = {r["fold"]: r["precision"] for r in precisions.collect()}
+    best = min(found, key=lambda fold: (-found[fold], fold))
+    report.folds += [(month, fold, precision, fold == best) for fold, precision in sorted(found.items())]
+    return models[best]
 
 
 def walk_forward(
@@ -116,13 +157,14 @@ def walk_forward(
     cfg: JobConfig,
     staging: Staging,
     last: int | None = None,
+    report: TrainingReport | None = None,
 ) -> dict[int, BoostedTrees]:
     """Model for each period (month of the year, or year and month) from the second on, up to
     ``last``, trained on the period before and warm started from that period's model. A period
     after an empty one keeps the older model.
 
     With ``cfg.models_out`` every model is stored as soon as it is trained, and a run goes on
-    after the last one stored there."""
+    after the last one stored there. ``report`` gets what each fold came to."""
     spark = table.sparkSession
     axis = [p for p in period_axis(table, cfg.period) if last is None or p <= last]
     models = stored_models(spark, cfg.models_out) if cfg.models_out else {}
@@ -133,12 +175,12 @@ def walk_forward(
         return models
     previous = models.get(start)
     training = table.where((F.col(cfg.period) >= start) & (F.col(cfg.period) < ahead[-1]))
-    train, held_out = training_sets(training, cfg, staging)
+    train, held_out = training_sets(training, cfg, staging, report)
     present = {row[0] for row in held_out.select("month").distinct().collect()}
     for before, period in zip([start, *ahead], ahead, strict=False):
         known = len(previous.trees) if previous else 0
         if before in present:
-            previous, _ = train_month(train, held_out, before, previous, cfg)
+            previous = train_month(train, held_out, before, previous, cfg, report)
         if previous is not None:
             models[period] = previous
             if cfg.models_out:
