@@ -6,7 +6,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from txwarden.functions.ordering import hashed_rank, shuffle_key, smallest
+from txwarden.functions.quantile_tables import quantile_table
 from txwarden.functions.quantiles import group_quantiles
+from txwarden.functions.sketches import RANK_ERROR, merged_sketches, sketch_quantiles, sketch_table
 from txwarden.operators.explore import (
     auto_histogram,
     box_stats,
@@ -15,6 +17,7 @@ from txwarden.operators.explore import (
     value_share,
 )
 from txwarden.operators.profile import column_types, dataset_profile, missing_report
+from txwarden.operators.scaling import fit_robust_scale
 
 PROBABILITIES = (0.0, 0.1, 0.25, 0.5, 0.75, 1.0)
 
@@ -126,3 +129,67 @@ def test_box(spark):
     got = {r["Fraud"]: tuple(r)[2:] for r in box_stats(df, ["x"]).collect()}
     assert got[0] == (5, 2.0, 3.0, 4.0, 1.0, 4.0, 1)
     assert got[1] == (1, 7.0, 7.0, 7.0, 7.0, 7.0, 0)
+
+
+@pytest.mark.parametrize("small_rows, sent_rows", [(10_000_000, 50_000), (1000, 50_000), (20, 50_000), (20, 0), (1, 0)])
+def test_quantile_tables_are_exact_however_they_are_found(numbers, small_rows, sent_rows):
+    rows, df = numbers
+    table = quantile_table(df, "x", PROBABILITIES, ["g"], small_rows, sent_rows)
+    found = {row["g"]: row for row in table.collect()}
+    assert set(found) == {"spread", "spike", "few", None}
+    for group, row in found.items():
+        x = [v for g, v in rows if g == group and v is not None]
+        assert (row["rows"], row["minimum"], row["maximum"]) == (len(x), min(x), max(x))
+        assert row["quantiles"] == pytest.approx(np.quantile(x, PROBABILITIES), rel=1e-12)
+
+
+@pytest.mark.parametrize("small_rows", [10_000_000, 50])
+def test_quantile_table_without_groups_or_rows(numbers, small_rows):
+    rows, df = numbers
+    x = [v for _, v in rows if v is not None]
+    (row,) = quantile_table(df, "x", PROBABILITIES, (), small_rows).collect()
+    assert row["quantiles"] == pytest.approx(np.quantile(x, PROBABILITIES), rel=1e-12)
+    assert quantile_table(df.where("false"), "x", PROBABILITIES, ["g"]).collect() == []
+
+
+def test_quantile_table_of_many_large_groups(spark):
+    """More groups than a driver dictionary was allowed to hold, a third of them beyond small_rows."""
+    df = spark.range(360_000).select(
+        (F.col("id") % 120_000).alias("g"), F.pmod(F.xxhash64("id"), F.lit(1000)).alias("x")
+    )
+    df = df.unionByName(df.where("g % 3 = 0"))
+    table = quantile_table(df, "x", [0.5], ["g"], small_rows=4)
+    expected = df.groupBy("g").agg(F.percentile("x", F.lit(0.5)).alias("m"))
+    both = table.join(expected, "g")
+    assert both.count() == 120_000
+    assert both.where(F.abs(F.get("quantiles", 0) - F.col("m")) > 1e-9).count() == 0
+
+
+def test_merged_sketches_keep_their_rank_error(spark):
+    rng = np.random.default_rng(3)
+    rows = [(int(m), float(x)) for m, x in zip(rng.integers(0, 12, 60_000), rng.exponential(size=60_000))]
+    df = spark.createDataFrame(rows, "month int, x double").repartition(7)
+    whole = merged_sketches(sketch_table(df, "x", ["month"]), [])
+    p = (0.01, 0.25, 0.5, 0.75, 0.99)
+    row = whole.select("rows", "minimum", "maximum", sketch_quantiles(p).alias("q")).first()
+    x = np.sort([v for _, v in rows])
+    assert (row["rows"], row["minimum"], row["maximum"]) == (60_000, x[0], x[-1])
+    ranks = np.searchsorted(x, row["q"]) / len(x)
+    assert np.abs(ranks - p).max() <= 3 * RANK_ERROR
+
+
+def test_approximate_scales_boxes_and_histograms(spark):
+    rng = np.random.default_rng(4)
+    rows = [(float(x), None if i % 7 == 0 else float(i), i % 2) for i, x in enumerate(rng.normal(size=20_000))]
+    df = spark.createDataFrame(rows, "a double, b double, Fraud int")
+    exact, near = (fit_robust_scale(df, ["a", "b"], method=m).parameters for m in ("exact", "approx"))
+    assert set(exact) == set(near)
+    for name, (median, spread) in exact.items():
+        assert near[name][0] == pytest.approx(median, abs=0.02 * spread)
+        assert near[name][1] == pytest.approx(spread, rel=0.03)
+    boxes = box_stats(df, ["a", "b"], method="approx").collect()
+    assert sorted((b["feature"], b["Fraud"]) for b in boxes) == [("a", 0), ("a", 1), ("b", 0), ("b", 1)]
+    assert sum(r["rows"] for r in auto_histogram(df, "a", method="approx").collect()) == 20_000
+    assert auto_histogram(df.where("false"), "a", method="approx").collect() == []
+    with pytest.raises(ValueError):
+        fit_robust_scale(df, ["a"], method="guess")

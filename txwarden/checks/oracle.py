@@ -150,6 +150,17 @@ SELECT feature, Fraud, count(*) AS rows, round(any_value(q1), 6) AS q1,
 FROM long JOIN box USING (feature, Fraud) GROUP BY feature, Fraud"""
 
 
+def _quantiles_by(key: str) -> str:
+    return _with(
+        f"""SELECT {key}, count(*) AS rows, round(min(transactionAmount), 6) AS minimum,
+            round(max(transactionAmount), 6) AS maximum,
+            round(quantile_cont(transactionAmount, 0.25), 6) AS q1,
+            round(quantile_cont(transactionAmount, 0.5), 6) AS median,
+            round(quantile_cont(transactionAmount, 0.75), 6) AS q3
+        FROM tx WHERE transactionAmount IS NOT NULL GROUP BY {key}"""
+    )
+
+
 RANKED = """
 ranked AS (SELECT eventId, month, Fraud, transactionAmount, -transactionAmount AS score,
                   row_number() OVER (PARTITION BY month ORDER BY -transactionAmount, eventId)
@@ -427,6 +438,23 @@ ORACLES: dict[str, str] = {
         HAVING date_trunc('day', transactionTime) + INTERVAL 1 DAY
             <= (SELECT max(transactionTime) FROM ev) - INTERVAL 1 HOUR"""
     ),
+    "velocity_stream_all": _with(
+        """SELECT accountNumber, CAST(date_trunc('day', transactionTime) AS TIMESTAMP)::VARCHAR
+            AS window_start, count(*) AS transaction_velocity,
+            CAST(date_trunc('day', transactionTime) + INTERVAL 1 DAY
+                > (SELECT max(transactionTime) FROM ev) - INTERVAL 1 HOUR AS INTEGER) AS is_open
+        FROM ev WHERE accountNumber IS NOT NULL
+        GROUP BY accountNumber, date_trunc('day', transactionTime)"""
+    ),
+    "account_quantiles": _quantiles_by("accountNumber"),
+    "merchant_quantiles_narrowed": _quantiles_by("merchantId"),
+    "merged_sketch_ranks": _with(
+        " UNION ALL ".join(
+            f"""SELECT '{c}' AS "column", count({c}) AS rows, round(min({c}), 6) AS minimum,
+            round(max({c}), 6) AS maximum, 1 AS within_error FROM labelled HAVING count({c}) > 0"""
+            for c in BOXED
+        )
+    ),
     "merchant_category_frequency": _with(
         "SELECT eventId, "
         + _count_over(

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from txwarden.config import BoostSettings, JobConfig
 from txwarden.functions.periods import YEAR_MONTH, period_axis, year_month
+from txwarden.functions.quantile_tables import quantile_table
+from txwarden.functions.sketches import RANK_ERROR, merged_sketches, sketch_quantiles, sketch_table
 from txwarden.functions.skew import SkewSettings, profile_keys
 from txwarden.functions.staging import Staging, stage
 from txwarden.functions.trees import score_by_key
@@ -35,7 +37,7 @@ from txwarden.operators.profile import dataset_profile, missing_report
 from txwarden.operators.ranking import combined_score, flagged_rows, top_n
 from txwarden.operators.report import cumulative_saved, detected_share, metric_series
 from txwarden.operators.resample import adasyn, near_miss
-from txwarden.operators.scaling import scale_columns
+from txwarden.operators.scaling import QUARTILES, melt, scale_columns
 from txwarden.operators.temporal import (
     wall_clock,
     with_cash_share,
@@ -65,7 +67,7 @@ from txwarden.sources.files import (
     write_results,
 )
 from txwarden.sources.orders_view import event_transactions, reports, transactions
-from txwarden.streaming.velocity import stream_velocity, write_available
+from txwarden.streaming.velocity import open_windows, stream_velocity, write_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -291,6 +293,18 @@ def velocity_stream(spark, sf):
     )
 
 
+def velocity_stream_all(spark, sf):
+    """The windows that the watermark has closed and, from the state, those still open."""
+    staging = Staging(spark)
+    out = stream_velocity(event_transactions(spark, sf, stream=True))
+    write_available(out, f"{staging.path}/out", f"{staging.path}/state").awaitTermination()
+    closed = spark.read.schema(out.schema).parquet(f"{staging.path}/out")
+    still_open = open_windows(spark, f"{staging.path}/state")
+    return closed.withColumn("is_open", F.lit(0)).unionByName(
+        still_open.withColumn("is_open", F.lit(1))
+    ).select("accountNumber", _text("window_start"), "transaction_velocity", "is_open")
+
+
 def merchant_category_frequency(spark, sf):
     return with_pair_frequency(transactions(spark, sf)).select(
         "eventId", "merchant_category_frequency"
@@ -377,6 +391,43 @@ def box_stats_query(spark, sf):
     )
 
 
+def _quantile_rows(table: DataFrame, key: str) -> DataFrame:
+    quartiles = [F.round(F.get("quantiles", i), 6).alias(q) for i, q in enumerate(("q1", "median", "q3"))]
+    return table.select(key, "rows", _r("minimum"), _r("maximum"), *quartiles)
+
+
+def account_quantiles(spark, sf):
+    """Quartiles of the amount by account: as many groups as there are accounts."""
+    tx = stage(transactions(spark, sf).select("accountNumber", "transactionAmount"))
+    return _quantile_rows(quantile_table(tx, "transactionAmount", QUARTILES, ["accountNumber"]), "accountNumber")
+
+
+def merchant_quantiles_narrowed(spark, sf):
+    """Quartiles by merchant on the way that groups too large for one task take, null merchants too."""
+    tx = stage(transactions(spark, sf).select("merchantId", "transactionAmount"))
+    table = quantile_table(tx, "transactionAmount", QUARTILES, ["merchantId"], small_rows=100, sent_rows=0)
+    return _quantile_rows(table, "merchantId")
+
+
+def merged_sketch_ranks(spark, sf):
+    """Sketches of the scaled columns by month, merged over the months without reading rows again,
+    and whether the true ranks of their quartiles are within four times the stated error."""
+    rows = stage(_dated(spark, sf).select("month", *BOXED))
+    cells = melt(rows, BOXED, ["month"])
+    sketches = stage(sketch_table(cells, "value", ["month", "column"]))
+    whole = stage(merged_sketches(sketches, ["column"]).withColumn("q", sketch_quantiles(QUARTILES)).drop("sketch"))
+    at = [F.get("q", i) for i in range(len(QUARTILES))]
+    seen = cells.join(F.broadcast(whole), "column").groupBy("column", "rows", "minimum", "maximum").agg(
+        *[F.count_if(F.col("value") < x).alias(f"under{i}") for i, x in enumerate(at)],
+        *[F.count_if(F.col("value") <= x).alias(f"upto{i}") for i, x in enumerate(at)],
+    )
+    near = F.lit(True)
+    for i, p in enumerate(QUARTILES):
+        slack = 4 * RANK_ERROR * F.col("rows") + 1
+        near &= (F.col(f"under{i}") <= p * F.col("rows") + slack) & (F.col(f"upto{i}") >= p * F.col("rows") - slack)
+    return seen.select("column", "rows", _r("minimum"), _r("maximum"), near.cast("int").alias("within_error"))
+
+
 def _amount_ranked(spark, sf) -> tuple[DataFrame, DataFrame]:
     """Transactions ranked by amount, so that ranking and evaluation have exact SQL."""
     rows = _dated(spark, sf).select(
@@ -758,6 +809,10 @@ QUERIES: dict[str, Query] = {
     "velocity_literal": velocity_literal,
     "velocity_trailing": velocity_trailing,
     "velocity_stream": velocity_stream,
+    "velocity_stream_all": velocity_stream_all,
+    "account_quantiles": account_quantiles,
+    "merchant_quantiles_narrowed": merchant_quantiles_narrowed,
+    "merged_sketch_ranks": merged_sketch_ranks,
     "velocity_five_hours": velocity_five_hours,
     "velocity_five_hours_hot": velocity_five_hours_hot,
     "time_since_last_hot": time_since_last_hot,

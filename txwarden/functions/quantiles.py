@@ -18,7 +18,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 SMALL_ROWS = 250_000
-MAX_GROUPS = 100_000
 GRID = 500
 SKETCH_ACCURACY = 5_000
 
@@ -52,16 +51,15 @@ def group_quantiles(
 ) -> dict[tuple, GroupQuantiles]:
     """Linear-interpolated quantiles per group, nulls ignored.
 
-    ``by`` must have few distinct values (checked); groups themselves may be any size.
+    For groups that the caller can name (the columns of a melted table); they may be any size.
+    Groups found in the data go through ``quantile_table``, which keeps them in tables.
     """
     work = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     sizes = {
         tuple(row[: len(by)]): (row["_n"], row["_lo"], row["_hi"])
-        for row in _few(
-            work.groupBy(*by).agg(
-                F.count("_v").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
-            )
-        )
+        for row in work.groupBy(*by)
+        .agg(F.count("_v").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        .collect()
         if row["_n"]
     }
     probabilities = [float(p) for p in probabilities]
@@ -107,13 +105,6 @@ def _ranks(rows: int, probabilities: Sequence[float]) -> set[int]:
     return {math.floor(p) for p in positions} | {math.ceil(p) for p in positions}
 
 
-def _few(df: DataFrame) -> list:
-    rows = df.limit(MAX_GROUPS + 1).collect()
-    if len(rows) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups; quantiles need a coarser grouping")
-    return rows
-
-
 def _restrict(work: DataFrame, by: Sequence[str], groups: list[tuple]) -> DataFrame:
     wanted = work.sparkSession.createDataFrame(groups, work.select(*by).schema)
     return _join_groups(work, wanted, by)

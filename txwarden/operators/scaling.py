@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txwarden.functions.quantiles import SMALL_ROWS, group_quantiles
+from txwarden.functions.sketches import sketch_quantiles, sketch_table
 from txwarden.functions.staging import quoted
 from txwarden.schema import require_columns
 
@@ -44,10 +45,15 @@ def melt(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataF
 
 
 def fit_robust_scale(
-    df: DataFrame, columns: Sequence[str], small_rows: int = SMALL_ROWS
+    df: DataFrame, columns: Sequence[str], small_rows: int = SMALL_ROWS, method: str = "exact"
 ) -> RobustScale:
-    """Exact, linearly interpolated quartiles of every column in one pass over ``df``."""
+    """Quartiles of every column in one pass over ``df``: exact and linearly interpolated, or, with
+    ``method="approx"``, from one sketch a column."""
     require_columns(df, columns)
+    if method == "approx":
+        return scale_from_sketches(sketch_table(melt(df, columns), "value", ["column"]), columns)
+    if method != "exact":
+        raise ValueError(f"method is exact or approx, not {method!r}")
     found = group_quantiles(melt(df, columns), "value", QUARTILES, ["column"], small_rows)
     parameters = {}
     for (name,), q in found.items():
@@ -56,7 +62,15 @@ def fit_robust_scale(
     return RobustScale({c: parameters[c] for c in columns if c in parameters})
 
 
+def scale_from_sketches(sketches: DataFrame, columns: Sequence[str]) -> RobustScale:
+    """Scale from a stored (column, sketch) table, one row a column; rows are not read again."""
+    wanted = sketches.where(F.col("column").isin(list(columns)))
+    quartiles = wanted.select("column", sketch_quantiles(QUARTILES).alias("q")).collect()
+    found = {row["column"]: (row["q"][1], row["q"][2] - row["q"][0]) for row in quartiles}
+    return RobustScale({c: found[c] for c in columns if c in found})
+
+
 def scale_columns(
-    df: DataFrame, columns: Sequence[str], small_rows: int = SMALL_ROWS
+    df: DataFrame, columns: Sequence[str], small_rows: int = SMALL_ROWS, method: str = "exact"
 ) -> DataFrame:
-    return fit_robust_scale(df, columns, small_rows).transform(df)
+    return fit_robust_scale(df, columns, small_rows, method).transform(df)

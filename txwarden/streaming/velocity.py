@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -49,3 +49,17 @@ def write_available(velocities: DataFrame, path: str, checkpoint: str) -> Stream
         .trigger(availableNow=True)
         .start(path)
     )
+
+
+def open_windows(
+    spark: SparkSession, checkpoint: str, account: str = "accountNumber"
+) -> DataFrame:
+    """The windows that a stopped stream still counts, read from its state and shaped as the rows it
+    appends. With those rows they make up every window; the stream goes on from its checkpoint."""
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select(
+        F.col("key")[account].alias(account),
+        F.col("key.window.start").cast("timestamp_ntz").alias("window_start"),
+        F.col("key.window.end").cast("timestamp_ntz").alias("window_end"),
+        F.col("value.count").alias("transaction_velocity"),
+    )
