@@ -161,6 +161,17 @@ def _quantiles_by(key: str) -> str:
     )
 
 
+def _before(key: str, count: str, total: str) -> str:
+    over = (
+        f"OVER (PARTITION BY {key} ORDER BY transactionTime, eventId "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    )
+    return (
+        f"CASE WHEN {key} IS NOT NULL THEN count(*) {over} END AS {count}, CASE WHEN {key} IS NOT NULL "
+        f"THEN round(sum(transactionAmount) {over}, 2) END AS {total}"
+    )
+
+
 RANKED = """
 ranked AS (SELECT eventId, month, Fraud, transactionAmount, -transactionAmount AS score,
                   row_number() OVER (PARTITION BY month ORDER BY -transactionAmount, eventId)
@@ -446,6 +457,21 @@ ORACLES: dict[str, str] = {
         FROM ev WHERE accountNumber IS NOT NULL
         GROUP BY accountNumber, date_trunc('day', transactionTime)"""
     ),
+    "time_since_last_stream": _with(
+        f"SELECT eventId, round({GAP}, 6) AS time_since_last_transaction FROM ev"
+    ),
+    "history_before": _with(
+        "SELECT eventId, "
+        + _before("accountNumber", "accountNumber_freq_before", "sum_amount_by_account_before")
+        + ", "
+        + _before("merchantCountry", "merchantCountry_freq_before", "sum_amount_by_country_before")
+        + " FROM tx"
+    ),
+    "known_labels": _with(
+        """SELECT eventId, month, Fraud, CAST(coalesce(reportedTime
+            < date_trunc('month', transactionTime) + INTERVAL 1 MONTH, false) AS INTEGER) AS known_fraud
+        FROM labelled"""
+    ),
     "account_quantiles": _quantiles_by("accountNumber"),
     "merchant_quantiles_narrowed": _quantiles_by("merchantId"),
     "merged_sketch_ranks": _with(

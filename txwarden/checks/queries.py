@@ -17,6 +17,7 @@ from txwarden.functions.staging import Staging, stage
 from txwarden.functions.trees import score_by_key
 from txwarden.operators.averages import with_average_amounts
 from txwarden.operators.boosting import fit_boosted_trees, with_probability
+from txwarden.operators.asof import ASOF_KEYS, with_history, with_known_label
 from txwarden.operators.cleaning import drop_columns, fill_missing
 from txwarden.operators.evaluate import classification_metrics, monthly_evaluation, yearly_totals
 from txwarden.operators.explore import (
@@ -67,6 +68,7 @@ from txwarden.sources.files import (
     write_results,
 )
 from txwarden.sources.orders_view import event_transactions, reports, transactions
+from txwarden.streaming.gaps import stream_gaps
 from txwarden.streaming.velocity import open_windows, stream_velocity, write_available
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -335,6 +337,32 @@ def time_since_last_events(spark, sf):
     )
 
 
+def time_since_last_stream(spark, sf):
+    """The event table read as a stream; the account's latest time is kept as state."""
+    staging = Staging(spark)
+    out = stream_gaps(event_transactions(spark, sf, stream=True))
+    write_available(out, f"{staging.path}/out", f"{staging.path}/state").awaitTermination()
+    return spark.read.schema(out.schema).parquet(f"{staging.path}/out").select(
+        "eventId", _r("time_since_last_transaction")
+    )
+
+
+def history_before(spark, sf):
+    """Counts and sums of the rows before each row, by account and by country."""
+    before = with_history(transactions(spark, sf))
+    columns = []
+    for count, mean in ASOF_KEYS.values():
+        columns += [F.col(count), F.round(F.col(mean) * F.col(count), 2).alias(mean.replace("avg", "sum"))]
+    return before.select("eventId", *columns)
+
+
+def known_labels(spark, sf):
+    """The label as reports had told it by the end of the transaction's month."""
+    dated = _dated(spark, sf)
+    end = F.add_months(F.trunc("transactionTime", "month"), 1).cast("timestamp_ntz")
+    return with_known_label(dated, end).select("eventId", "month", "Fraud", "known_fraud")
+
+
 def missing_report_query(spark, sf):
     return missing_report(raw_feature_nulls(transactions(spark, sf))).select("column", "total", _r("percent"))
 
@@ -810,6 +838,9 @@ QUERIES: dict[str, Query] = {
     "velocity_trailing": velocity_trailing,
     "velocity_stream": velocity_stream,
     "velocity_stream_all": velocity_stream_all,
+    "time_since_last_stream": time_since_last_stream,
+    "history_before": history_before,
+    "known_labels": known_labels,
     "account_quantiles": account_quantiles,
     "merchant_quantiles_narrowed": merchant_quantiles_narrowed,
     "merged_sketch_ranks": merged_sketch_ranks,
