@@ -574,13 +574,31 @@ def test_rotation_equals_brute_force(spark):
     assert rotate_perspectives(df.limit(0)).collect() == []
 
 
-def test_rotation_cuts_crowded_turns(spark, monkeypatch):
-    monkeypatch.setattr(perspectives, "MOST_ROWS", 10)
-    rows = [(1, 3, "a", f"x{i}") for i in range(200)] + [(1, 4, "b", "y"), (1, 2, "a", "z")]
-    got = rotate_perspectives(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
-    parts = [r for r in got.orderBy("segment").collect() if r["perspective"] == "a"]
-    assert max(len(r["messages"]) for r in parts) < 30 and sum(len(r["messages"]) for r in parts) == 202
-    assert parts[0]["messages"][0]["content"] == "z" and parts[-1]["messages"][0]["content"] == "y"
+def test_rotation_cuts_long_dialogues_by_rank(spark, monkeypatch):
+    """Equal turn numbers, null conversations; segments are the same however rows are dealt."""
+    monkeypatch.setattr(perspectives, "SEGMENT_ROWS", 10)
+    rows = [(1, 3, "a", f"x{i}") for i in range(200)] + [(1, 4, "b", "y"), (1, 2, "a", "z"), (2, 0, "c", "short")]
+    rows += [(None, i, "System" if i % 5 == 0 else "xyz"[i % 3], f"n{i}") for i in range(33)]
+    found = []
+    for n in (1, 7):
+        df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(n)
+        found.append(sorted(rotate_perspectives(df).collect(), key=str))
+    assert found[0] == found[1]
+    parts = sorted((r for r in found[0] if r["perspective"] == "a"), key=lambda r: r["segment"])
+    assert [len(r["messages"]) for r in parts] == [10] * 20 + [2]
+    assert parts[0]["messages"][0]["content"] == "z" and parts[-1]["messages"][-1]["content"] == "y"
+    for conv, who in {(r["conv_id"], r["perspective"]) for r in found[0]}:
+        own = sorted((r for r in found[0] if (r["conv_id"], r["perspective"]) == (conv, who)), key=lambda r: r["segment"])
+        at = 0
+        for r in own:
+            assert r["offset"] == at
+            at += len(r["text"])
+
+
+def test_rotation_of_turns_numbered_by_time(spark):
+    rows = [(1, 1_700_000_000 + 1000 * i, "ab"[i % 2], f"t{i}") for i in range(40)]
+    got = rotate_perspectives(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert [(r["segment"], len(r["messages"])) for r in got] == [(0, 40)] * 2
 
 
 def test_the_subpackage_is_optional():

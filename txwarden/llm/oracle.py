@@ -29,11 +29,11 @@ FROM d LEFT JOIN sums USING (doc_id) LEFT JOIN kept USING (doc_id)
 """,
     "op4_perspectives": """
 WITH t AS (
-    SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS content
-    FROM conversations),
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, md5(role || chr(1) || content)) - 1 AS place
+    FROM (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS content FROM conversations)),
 speakers AS (SELECT DISTINCT conv_id, role AS perspective FROM t WHERE lower(role) <> 'system'),
 m AS (
-    SELECT s.conv_id, s.perspective, t.turn, t.content,
+    SELECT s.conv_id, s.perspective, t.place, t.place // 1024 AS segment, t.content,
            CASE WHEN lower(t.role) = 'system' THEN 'system'
                 WHEN t.role = s.perspective THEN 'assistant' ELSE 'user' END AS role, t.role AS name
     FROM speakers s JOIN t ON s.conv_id IS NOT DISTINCT FROM t.conv_id),
@@ -43,16 +43,16 @@ h AS (
 w AS (
     SELECT *, length(head) + length(content) + 11 AS size,
            sum(length(head) + length(content) + 11) OVER (
-               PARTITION BY conv_id, perspective ORDER BY turn
+               PARTITION BY conv_id, perspective, segment ORDER BY place
                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
     FROM h)
-SELECT conv_id, perspective, 0::BIGINT AS segment, count(*)::BIGINT AS n_messages,
-       string_agg(head || content || '<|im_end|>' || chr(10), '' ORDER BY turn) AS text,
+SELECT conv_id, perspective, segment::BIGINT AS segment, count(*)::BIGINT AS n_messages,
+       string_agg(head || content || '<|im_end|>' || chr(10), '' ORDER BY place) AS text,
        string_agg(CASE WHEN role = 'assistant'
                        THEN (upto - size + length(head))::BIGINT::VARCHAR || '-' || upto::BIGINT::VARCHAR END,
-                  ',' ORDER BY turn) AS mask,
+                  ',' ORDER BY place) AS mask,
        sum(CASE WHEN role = 'assistant' THEN size - length(head) ELSE 0 END)::BIGINT AS n_masked
-FROM w GROUP BY conv_id, perspective
+FROM w GROUP BY conv_id, perspective, segment
 """,
     "op5_prefix_groups": r"""
 WITH RECURSIVE d AS (
