@@ -255,6 +255,104 @@ def test_each_statistic_rejects_on_its_own(spark):
     assert got[1002]["n_repeat_words"] == 0
 
 
+def numpy_distances(vectors, steps=5, share=0.75, prior=200.0):
+    """{row: scaled squared distance} for {row: (lang, source, vector)}, written with NumPy."""
+    names = list(VECTOR)
+    floors, d = np.array([VECTOR[n] for n in names]), len(names)
+
+    def at_share(cells, part):
+        values, counts = np.unique(cells, return_counts=True)
+        return values[np.argmax(np.cumsum(counts) >= part * len(cells))]
+
+    def factor(c):
+        low = np.zeros((d, d))
+        for j in range(d):
+            low[j, j] = np.sqrt(max(c[j, j] - low[j, :j] @ low[j, :j], floors[j] ** 2))
+            for i in range(j + 1, d):
+                low[i, j] = (c[i, j] - low[i, :j] @ low[j, :j]) / low[j, j]
+        return low
+
+    def distance(x, m, low):
+        return (np.linalg.solve(low, (x - m).T) ** 2).sum(0)
+
+    def cells(d2):
+        return np.floor(np.log(d2 + 1e-6) * 100).astype(int)
+
+    groups = defaultdict(list)
+    for row, (lang, source, _) in vectors.items():
+        for key in ((0, lang, source), (1, lang, None), (2, None, None)):
+            groups[key].append(row)
+    data = {k: np.array([vectors[r][2] for r in rows]) for k, rows in groups.items()}
+    models = {}
+    for k, x in data.items():
+        rounded = np.floor(x * 1000 + 0.5).astype(int)
+        mid = np.array([at_share(rounded[:, i], 0.5) for i in range(d)])
+        mad = np.array([at_share(np.abs(rounded[:, i] - mid[i]), 0.5) for i in range(d)])
+        moments = lambda y: (y.mean(0), (y.T @ y) / len(y) - np.outer(y.mean(0), y.mean(0)))
+        models[k] = [(mid / 1000, factor(np.diag((1.4826 * mad / 1000) ** 2))), (moments(x)[0], factor(moments(x)[1]))]
+    log_det = lambda low: 2 * np.log(np.diag(low)).sum()
+    for _ in range(steps):
+        fall = -np.inf
+        for k, x in data.items():
+            closer = []
+            for m, low in models[k]:
+                c = cells(distance(x, m, low))
+                m2, c2 = moments(x[c <= at_share(c, share)])
+                closer.append((m2, factor(c2)))
+                fall = max(fall, log_det(low) - log_det(closer[-1][1]))
+            models[k] = closer
+        if fall < 1e-3:
+            break
+    final = {}
+    for k, x in data.items():
+        m, low = min(models[k], key=lambda p: round(log_det(p[1]), 9))
+        half = at_share(cells(distance(x, m, low)), 0.5)
+        final[k] = (len(x), m, low @ low.T, max(np.exp((half + 1) / 100) / chi2_quantile(d, 0.0), 1.0))
+
+    def mix(own, parent):
+        n, m, c, s = own
+        a = n / (n + prior)
+        gap = m - parent[1]
+        return n, a * m + (1 - a) * parent[1], a * c + (1 - a) * parent[2] + a * (1 - a) * np.outer(gap, gap), a * s + (1 - a) * parent[3]
+
+    out = {}
+    for (level, lang, source), rows in groups.items():
+        if level == 0:
+            _, m, c, s = mix(final[0, lang, source], mix(final[1, lang, None], final[2, None, None]))
+            d2 = distance(data[0, lang, source], m, factor(c)) / s
+            out.update(zip(rows, d2, strict=True))
+    return out
+
+
+@pytest.mark.parametrize("sizes", [(199, 30), (200, 30), (260, 1)])
+def test_distances_equal_numpy_at_every_group_size(spark, sizes):
+    rnd = random.Random(sum(sizes))
+    vocabulary = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 9))) for _ in range(2000)]
+    rows = []
+    for lang, source, n in (("en", "a", sizes[0]), ("en", None, sizes[1]), ("fr", "a", 60)):
+        for _ in range(n):
+            words = [rnd.choice(vocabulary) + "*" * (rnd.random() < 0.05) for _ in range(rnd.randint(50, 300))]
+            words += words[: rnd.choice([0, 0, 0, 10, 20])]
+            rows.append((len(rows), "\n".join(" ".join(words[i : i + 9]) for i in range(0, len(words), 9)), lang, source))
+    rows += [(len(rows) + i, " ".join(w * 6 for w in rows[i][1].split()), "en", "a") for i in range(12)]
+    got = quality_verdicts(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    got = {r["doc_id"]: r for r in got.collect()}
+    vectors = {}
+    for i, _, lang, source in rows:
+        r = got[i]
+        if not r["base_failed"]:
+            n = r["n_words"]
+            rates = (10 * r["n_symbols"] / n, 100 * r["n_dup_lines"] / n)
+            vectors[i] = (lang, source, [np.log(1 + r["word_chars"] / n) * 4, *np.log(1 + np.array(rates)), r["n_repeat_words"] / n])
+    expected = numpy_distances(vectors)
+    assert len(expected) > len(rows) - 5
+    limit = chi2_quantile(len(VECTOR), 6.0)
+    for i, d2 in expected.items():
+        assert got[i]["d2"] == pytest.approx(d2, rel=1e-6), i
+        assert got[i]["kept"] == (d2 <= limit)
+    assert not all(r["kept"] for r in got.values())
+
+
 def test_quality_rules_on_awkward_rows(awkward, empty):
     rows = quality_verdicts(awkward).collect()
     assert len(rows) == len(awkward_rows()) and not any(r["kept"] and r["base_failed"] for r in rows)

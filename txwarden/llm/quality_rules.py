@@ -6,11 +6,13 @@ vector, and for each language and source a minimum-covariance-determinant estima
 and covariance of the three quarters of documents that lie closest together) gives squared
 Mahalanobis distances; documents far out are rejected.
 
-The estimate is found by concentration steps. A step is one aggregation by language and source
-whose sums are combined before the shuffle, so a source with a third of all rows costs its
-task no more than any other, and the quantile of a step comes from counts of rounded
-distances, not from a sort. Groups with fewer than ``least_rows`` documents use their
-language's estimate, small languages the whole table's.
+The estimate is found by concentration steps from two starts, medians with median absolute
+deviations and the classical moments, until the determinant falls no more; the start that ends
+with the least determinant counts. A step is one aggregation by language and source whose sums
+are combined before the shuffle, so a source with a third of all rows costs its task no more than
+any other, and the quantile of a step comes from counts of rounded distances, not from a sort.
+A group of n documents weighs n against ``prior_rows`` of its language's estimate, and that
+against the whole table's: one rule for groups of any size.
 
 Defined cases: null and blank texts have no words and fail the base rules; a null language or
 source is a value like any other; a statistic that never varies within a group counts with a
@@ -37,6 +39,9 @@ SYMBOLS = "#*$%&|<>"
 #: because clean documents are to be kept and rates are no normal variables.
 CUTOFF_Z = 6.0
 
+#: Concentration stops where no logarithm of a determinant falls by more than this.
+LEAST_FALL = 1e-3
+
 #: Statistics of the vector, each with the smallest standard deviation it counts with: most
 #: documents have no symbols or repeats at all, and one repeated line is no outlier. Each can
 #: reject on its own: where nobody repeats, a ``repeat_rate`` above 0.435 lies beyond the cutoff.
@@ -128,7 +133,7 @@ def by_histogram(df: DataFrame, keys: Sequence[str], bucket: Column, share: floa
     return upto.filter(F.col("_upto") >= share * F.col("_all")).groupBy(*keys).agg(F.min("_bucket").alias("_bucket"))
 
 
-def with_factor(groups: DataFrame, names: list[str]) -> DataFrame:
+def with_factor(groups: DataFrame, names: list[str], extra: Sequence[str] = ("start",)) -> DataFrame:
     """Adds the Cholesky factor ``l_i_j`` of the covariance ``c_i_j``, column by column."""
     d = len(names)
     for j in range(d):
@@ -139,7 +144,7 @@ def with_factor(groups: DataFrame, names: list[str]) -> DataFrame:
             inner = sum((F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}") for k in range(j)), F.lit(0.0))
             groups = groups.withColumn(f"l_{i}_{j}", (F.col(f"c_{i}_{j}") - inner) / F.col(f"l_{j}_{j}"))
     kept = [f"m_{i}" for i in range(d)] + [f"l_{i}_{j}" for j in range(d) for i in range(j, d)]
-    return groups.select("level", "lang", "source", "n", *kept)
+    return groups.select("level", "lang", "source", "n", *extra, *kept)
 
 
 def with_distance(rows: DataFrame, groups: DataFrame, names: list[str], extra: Sequence[str] = ("g_n",), how: str = "inner") -> DataFrame:
@@ -156,11 +161,11 @@ def with_distance(rows: DataFrame, groups: DataFrame, names: list[str], extra: S
 
 
 def moments(rows: DataFrame, names: list[str]) -> DataFrame:
-    """Mean and covariance by level, language and source."""
+    """Mean and covariance by level, language, source and start."""
     d = len(names)
     sums = [F.sum(x).alias(f"s_{i}") for i, x in enumerate(names)]
     sums += [F.sum(F.col(names[i]) * F.col(names[j])).alias(f"s_{i}_{j}") for j in range(d) for i in range(j, d)]
-    g = rows.groupBy("level", "lang", "source").agg(F.count(F.lit(1)).alias("h"), F.max("n_all").alias("n"), *sums)
+    g = rows.groupBy("level", "lang", "source", "start").agg(F.count(F.lit(1)).alias("h"), F.max("n_all").alias("n"), *sums)
     for i in range(d):
         g = g.withColumn(f"m_{i}", F.col(f"s_{i}") / F.col("h"))
     for j in range(d):
@@ -174,11 +179,30 @@ def chi2_quantile(d: int, z: float) -> float:
     return d * (1 - 2 / (9 * d) + z * math.sqrt(2 / (9 * d))) ** 3
 
 
-def robust_estimates(rows: DataFrame, *, steps: int, share: float, least_rows: int) -> DataFrame:
+def log_determinant(d: int) -> Column:
+    return sum((F.log(F.col(f"l_{j}_{j}")) for j in range(d)), F.lit(0.0)) * 2
+
+
+def mixed(own: str, parent: str, weight: float, d: int) -> Column:
+    """Center ``m_i``, covariance ``c_i_j`` and ``scale`` of the mixture of a group's estimate, which
+    weighs its rows, and its parent's, which weighs ``weight``."""
+    a = F.col(f"{own}.n") / (F.col(f"{own}.n") + weight)
+    mean = lambda name: a * F.col(f"{own}.{name}") + (1 - a) * F.col(f"{parent}.{name}")
+    apart = [F.col(f"{own}.m_{i}") - F.col(f"{parent}.m_{i}") for i in range(d)]
+    fields = [F.col(f"{own}.n").alias("n"), mean("scale").alias("scale")]
+    fields += [mean(f"m_{i}").alias(f"m_{i}") for i in range(d)]
+    for j in range(d):
+        for i in range(j, d):
+            fields.append((mean(f"c_{i}_{j}") + a * (1 - a) * apart[i] * apart[j]).alias(f"c_{i}_{j}"))
+    return F.struct(*fields)
+
+
+def robust_estimates(rows: DataFrame, *, steps: int, share: float, prior_rows: float) -> DataFrame:
     """Per language and source of ``rows`` (lang, source and the vector): center, Cholesky factor
     and ``scale``, which makes the median distance that of a chi-square variable."""
     names, d = list(VECTOR), len(VECTOR)
-    keys = ["level", "lang", "source"]
+    groups = ["level", "lang", "source"]
+    keys = [*groups, "start"]
     none = F.lit(None).cast("string")
     levels = F.array(
         F.struct(F.lit(0).alias("level"), F.col("lang"), F.col("source")),
@@ -186,58 +210,69 @@ def robust_estimates(rows: DataFrame, *, steps: int, share: float, least_rows: i
         F.struct(F.lit(2).alias("level"), none.alias("lang"), none.alias("source")),
     )
     spread = rows.select(*names, F.explode(levels).alias("_k")).select(*names, "_k.*")
-    sizes = spread.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    other = lambda t, by: t.withColumnsRenamed({k: f"g_{k}" for k in by})
+    on = lambda by: [F.col(k).eqNullSafe(F.col(f"g_{k}")) for k in by]
+    less = lambda t, by: t.drop(*[f"g_{k}" for k in by])
 
-    # Start: medians, and the median absolute deviations as scales of uncorrelated axes.
-    long = spread.select(*keys, F.posexplode(F.array(*names)).alias("axis", "x"))
+    # One start: medians, and the median absolute deviations as scales of uncorrelated axes.
+    axes = [*groups, "axis"]
+    long = spread.select(*groups, F.posexplode(F.array(*names)).alias("axis", "x"))
     long = long.withColumn("cell", F.round(F.col("x") * 1000).cast("long"))
-    mid = stage(by_histogram(long, [*keys, "axis"], F.col("cell"), 0.5), "medians")
-    mid = mid.withColumnsRenamed({**{k: f"g_{k}" for k in [*keys, "axis"]}, "_bucket": "median"})
-    on = [F.col(k).eqNullSafe(F.col(f"g_{k}")) for k in [*keys, "axis"]]
-    off = long.join(mid, on).withColumn("off", F.abs(F.col("cell") - F.col("median")))
-    mad = by_histogram(off, [*keys, "axis", "median"], F.col("off"), 0.5)
+    mid = stage(by_histogram(long, axes, F.col("cell"), 0.5), "medians")
+    mid = other(mid.withColumnRenamed("_bucket", "median"), axes)
+    off = long.join(mid, on(axes)).withColumn("off", F.abs(F.col("cell") - F.col("median")))
+    mad = by_histogram(off, [*axes, "median"], F.col("off"), 0.5)
     at = lambda i, c: F.max(F.when(F.col("axis") == i, F.col(c)))
-    start = mad.groupBy(*keys).agg(
+    robust = mad.groupBy(*groups).agg(
+        F.lit(0).alias("start"),
         *[(at(i, "median") / 1000).alias(f"m_{i}") for i in range(d)],
         *[F.pow(1.4826 * at(i, "_bucket") / 1000, F.lit(2.0)).alias(f"c_{i}_{i}") for i in range(d)],
+        *[F.lit(0.0).alias(f"c_{i}_{j}") for j in range(d) for i in range(j + 1, d)],
     )
-    for j in range(d):
-        for i in range(j + 1, d):
-            start = start.withColumn(f"c_{i}_{j}", F.lit(0.0))
-    size_of = sizes.withColumnsRenamed({k: f"g_{k}" for k in keys})
-    start = start.join(size_of, [F.col(k).eqNullSafe(F.col(f"g_{k}")) for k in keys])
-    model = stage(with_factor(start, names), "start")
+    # The other: the moments of all rows of the group.
+    sized = spread.withColumns({"start": F.lit(1), "n_all": F.lit(0)})
+    plain = stage(moments(sized, names).withColumn("n", F.col("h")), "classical")
+    robust = less(robust.join(other(plain.select(*groups, "n"), groups), on(groups)), groups)
+    model = stage(with_factor(robust.unionByName(plain.select(*robust.columns)), names), "start")
 
     fine = F.floor(F.log(F.col("d2") + 1e-6) * 100).cast("long")
+    carried = ("g_n", "start")
     for step in range(steps):
-        seen = with_distance(spread, model, names).withColumn("cell", fine)
-        cut = by_histogram(seen, keys, F.col("cell"), share)
-        cut = cut.withColumnsRenamed({**{k: f"g_{k}" for k in keys}, "_bucket": "edge"})
-        near = seen.join(cut, [F.col(k).eqNullSafe(F.col(f"g_{k}")) for k in keys])
+        seen = with_distance(spread, model, names, carried).withColumn("cell", fine)
+        cut = other(by_histogram(seen, keys, F.col("cell"), share).withColumnRenamed("_bucket", "edge"), keys)
+        near = less(seen.join(cut, on(keys)), keys)
         near = near.filter(F.col("cell") <= F.col("edge")).withColumn("n_all", F.col("g_n"))
-        model = stage(with_factor(moments(near, names), names), f"step{step}")
+        closer = stage(with_factor(moments(near, names), names), f"step{step}")
+        before = other(model.select(*keys, log_determinant(d).alias("det")), keys)
+        fall = closer.join(before, on(keys)).agg(F.max(F.col("det") - log_determinant(d))).first()[0]
+        model = closer
+        if fall is None or fall < LEAST_FALL:
+            break
+    least = F.min_by(F.struct(*model.columns), F.struct(F.round(log_determinant(d), 9), "start"))
+    model = stage(model.groupBy(*groups).agg(least.alias("p")).select("p.*"), "least")
 
     seen = with_distance(spread, model, names).withColumn("cell", fine)
-    half = by_histogram(seen, keys, F.col("cell"), 0.5)
-    half = half.withColumnsRenamed({**{k: f"h_{k}" for k in keys}, "_bucket": "half"})
+    half = other(by_histogram(seen, groups, F.col("cell"), 0.5).withColumnRenamed("_bucket", "half"), groups)
     # A group whose middle lies at its floors has no spread to scale by.
     scale = F.greatest(F.exp((F.col("half") + 1) / 100) / chi2_quantile(d, 0.0), F.lit(1.0))
-    final = model.join(half, [F.col(k).eqNullSafe(F.col(f"h_{k}")) for k in keys])
-    final = stage(final.withColumn("scale", scale).drop("half", *[f"h_{k}" for k in keys]), "final")
-
-    # The finest level with enough rows; the whole table always serves.
+    covariance = [
+        sum((F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}") for k in range(j + 1)), F.lit(0.0)).alias(f"c_{i}_{j}")
+        for j in range(d)
+        for i in range(j, d)
+    ]
+    final = model.join(half, on(groups))
+    final = stage(final.select(*groups, "n", scale.alias("scale"), *[f"m_{i}" for i in range(d)], *covariance), "final")
+
+    # Each group is mixed with its language, which is mixed with the whole table.
     own, by_lang, whole = (final.filter(F.col("level") == k) for k in (0, 1, 2))
-    params = [c for c in final.columns if c[:2] in ("m_", "l_")] + ["n", "scale"]
-    pack = lambda t, name: t.select("lang", F.struct(*params).alias(name), F.lit(1).alias("one"))
-    wide = own.select("lang", "source", F.struct(*params).alias("p0"), F.lit(1).alias("one"))
-    lang_table = pack(by_lang, "p1").drop("one").withColumnRenamed("lang", "p1_lang")
-    wide = wide.join(lang_table, F.col("lang").eqNullSafe(F.col("p1_lang"))).join(
-        pack(whole, "p2").drop("lang"), "one"
-    )
-    enough = lambda p: F.col(f"{p}.n") >= least_rows
-    best = F.when(enough("p0"), F.col("p0")).when(enough("p1"), F.col("p1")).otherwise(F.col("p2"))
-    chosen = wide.select(F.lit(0).alias("level"), "lang", "source", best.alias("p"))
-    return stage(chosen.select("level", "lang", "source", "p.*"), "chosen")
+    params = [c for c in final.columns if c not in groups]
+    lang_table = by_lang.select(F.col("lang").alias("p1_lang"), F.struct(*params).alias("p1"), F.lit(1).alias("one"))
+    lang_table = lang_table.join(whole.select(F.struct(*params).alias("p2"), F.lit(1).alias("one")), "one")
+    lang_table = lang_table.select("p1_lang", mixed("p1", "p2", prior_rows, d).alias("p1"))
+    wide = own.select("lang", "source", F.struct(*params).alias("p0"))
+    wide = wide.join(lang_table, F.col("lang").eqNullSafe(F.col("p1_lang")))
+    chosen = wide.select(F.lit(0).alias("level"), "lang", "source", mixed("p0", "p1", prior_rows, d).alias("p"))
+    return stage(with_factor(chosen.select("level", "lang", "source", "p.*"), names, ("scale",)), "chosen")
 
 
 def quality_verdicts(
@@ -251,7 +286,7 @@ def quality_verdicts(
     repeat_percent: int = 50,
     steps: int = 5,
     share: float = 0.75,
-    least_rows: int = 200,
+    prior_rows: float = 200.0,
     cutoff_z: float = CUTOFF_Z,
     keep: Sequence[str] = (),
 ) -> DataFrame:
@@ -275,7 +310,7 @@ def quality_verdicts(
     names = list(VECTOR)
     with_vector = lambda t: t.select("*", *[c.alias(name) for name, c in vector().items()])
     sample = with_vector(slim.filter(~F.col("base_failed"))).select("lang", "source", *names)
-    model = robust_estimates(sample, steps=steps, share=share, least_rows=least_rows)
+    model = robust_estimates(sample, steps=steps, share=share, prior_rows=prior_rows)
     # Left: a language and source of which every document fails has no estimate.
     scored = with_distance(with_vector(d).withColumn("level", F.lit(0)), model, names, ["scale"], "left")
     distance = F.when(~F.col("base_failed"), F.col("d2") / F.col("scale"))
