@@ -759,3 +759,28 @@ def test_budget_of_long_unbroken_texts():
     began = time.time()
     assert 0 < tool.fitting("qzxj" * 250_000, 1000) < 10_000
     assert time.time() - began < 30
+
+
+def test_classifier_sample_is_bounded_whatever_the_ids(spark, monkeypatch):
+    """One id with many labels, one with many documents, labels that are text, fractions or null."""
+    from txwarden.llm import quality_classifier as classifier
+
+    docs = [(i, ("good plain prose " if i % 2 else "#### spam !!!! ") * 9, 1) for i in range(200)]
+    docs += [(7, f"good plain prose number {i}", 1) for i in range(500)]
+    labels = [(i, str(i % 2)) for i in range(200)] + [(7, "1")] * 500 + [(1, "0.9"), (3, "good"), (5, None), (None, "1")]
+    seen = []
+    frame = type(spark.range(1))
+    fetch = frame.groupBy
+
+    def spy(self, *keys):
+        if "label_id" in self.columns and "text" in self.columns:
+            seen.append(self.count())
+        return fetch(self, *keys)
+
+    monkeypatch.setattr(frame, "groupBy", spy)
+    d = spark.createDataFrame(docs, "doc_id long, text string, quality int").repartition(3)
+    scores = classifier.quality_scores(d, spark.createDataFrame(labels, "doc_id long, quality string"), F.lit(True), sample_rows=150)
+    got = [(r["doc_id"], r["score"]) for r in scores.collect()]
+    assert seen and 0 < seen[0] <= 300
+    assert len(got) == len(docs)
+    assert all((score > 0.5) == bool(i % 2) for i, score in got if i != 7)

@@ -140,11 +140,13 @@ def fit(texts: pa.Array, labels: np.ndarray, *, epochs: int, rate: float, batch:
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, *, sample_rows: int, id_col: str, text_col: str, label_id: str, label_col: str, epochs: int, rate: float, batch: int) -> tuple[np.ndarray, float] | None:
-    """Train in one task on the sample; None without labelled rows."""
+    """Train in one task on the sample; None without labelled rows. Labels other than 0 and 1 teach
+    nothing, equal labels of one id count once. The sample is drawn by id; should ids repeat in the
+    documents, the ``2 * sample_rows`` rows of least hash stay, so that no id makes the task grow."""
     known = labels.select(
-        F.col(quoted(label_id)).alias("label_id"), F.col(quoted(label_col)).cast("int").alias("label")
+        F.col(quoted(label_id)).alias("label_id"), F.col(quoted(label_col)).try_cast("double").alias("label")
     ).filter("label in (0, 1) and label_id is not null")
-    known = known.filter(learn)
+    known = known.filter(learn).withColumn("label", F.col("label").cast("int")).distinct()
     n = known.count()
     u = F.pmod(F.xxhash64(F.col("label_id").cast("string")), F.lit(1 << 30)) / float(1 << 30)
     picked = known.filter(u * n < sample_rows)
@@ -152,6 +154,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, *, sample_rows: int
     if picked.count() <= 10 * sample_rows:  # else one id has most labels
         picked = F.broadcast(picked)
     sample = texts.join(picked, F.col("id") == F.col("label_id")).filter("text is not null")
+    sample = sample.orderBy(F.xxhash64("id", "text", "label"), "id", "label").limit(2 * sample_rows)
 
     def run(table: pa.Table) -> pa.Table:
         order = np.lexsort((table.column("label").to_numpy(), table.column("id").cast(pa.string()).to_numpy(False).astype(str)))
