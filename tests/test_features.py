@@ -193,6 +193,22 @@ def test_hot_keys_change_nothing(spark, operator):
     assert rows_of(operator(df.repartition(17), ALL_COLD)) == expected
 
 
+def test_hot_keys_are_repeated_by_their_own_rows(spark):
+    """Many null keys, one heavy key and many of three rows: the looked-up table grows with the rows,
+    not with hot keys times the heaviest one's salts, and is not broadcast after that."""
+    key = F.expr("CASE WHEN id < 4000 THEN NULL WHEN id < 6000 THEN 0 ELSE 1 + (id - 6000) % 500 END")
+    df = spark.range(7500).select(F.col("id").alias("eventId"), key.alias("merchantId")).localCheckpoint()
+    settings = SkewSettings(min_hot_rows=2, broadcast_keys=0)
+    (profile,) = profile_keys(df, ["merchantId"], settings=settings)
+    out = with_key_frequency(df, ["merchantId"], skew=settings, profiles=[profile])
+    assert sorted(set(n for _, n in profile.dealt)) == [2, 1000]
+    copies = profile.with_shares(df.select("merchantId").distinct()).agg(F.sum("_shares")).first()[0]
+    assert copies == 1000 + 500 * 2
+    assert out._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin") == 2  # hot keys only
+    got = {tuple(r) for r in out.groupBy("merchantId", "merchantId_freq").count().collect()}
+    assert got == {(None, None, 4000), (0, 2000, 2000), *[(k, 3, 3) for k in range(1, 501)]}
+
+
 @pytest.mark.parametrize("mode", ["bin", "literal", "trailing"])
 def test_account_windows_equal_the_single_operators(spark, mode):
     df = skewed(spark)

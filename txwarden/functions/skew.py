@@ -37,22 +37,29 @@ class KeyProfile:
     hot: tuple[int, ...]
     salts: int
     broadcastable: bool
+    #: Each hot key's hash and how many salts its rows are dealt over.
+    dealt: tuple[tuple[int, int], ...] = ()
 
     @property
     def has_null(self) -> Column:
         return _any_null(self.keys)
 
-    @property
-    def is_hot(self) -> Column:
-        """True for rows of hot keys; never null."""
-        if not self.hot:
-            return F.lit(False)
-        return ~_any_null(self.keys) & F.xxhash64(*self.keys).isin(list(self.hot))
+    def with_shares(self, df: DataFrame, *keys: str) -> DataFrame:
+        """``df`` with ``_shares``, how many salts the rows of a hot key are dealt over, by the key's
+        own rows; null for other keys. Hot keys are a broadcast table: tens of thousands of them
+        as literals cost the driver more than the join."""
+        keys = keys or self.keys
+        if not self.dealt:
+            return df.withColumn("_shares", F.lit(None).cast("int"))
+        hot = df.sparkSession.createDataFrame(list(self.dealt), "_hot long, _shares int")
+        value = F.when(~_any_null(keys), F.xxhash64(*keys))
+        return df.join(F.broadcast(hot), value == F.col("_hot"), "left").drop("_hot")
 
-    def salt(self, spread_by: Sequence[str]) -> Column:
-        """0 for ordinary rows; hot and null-key rows are dealt over ``salts`` values."""
-        spread = F.pmod(F.xxhash64(*spread_by), F.lit(self.salts)).cast("int")
-        return F.when(self.is_hot | self.has_null, spread).otherwise(F.lit(0))
+    def split(self, df: DataFrame, *keys: str) -> tuple[DataFrame, DataFrame]:
+        """Rows of other keys, null ones among them, and rows of hot keys."""
+        marked = self.with_shares(df, *keys)
+        hot = F.col("_shares").isNotNull()
+        return marked.where(~hot).drop("_shares"), marked.where(hot).drop("_shares")
 
 
 def _any_null(keys: Sequence[str]) -> Column:
@@ -85,6 +92,7 @@ def profile_keys(
         hot = tuple(sorted(item for item, count in heavy if count > limit))
         nulls = rows - found[f"n{i}"]
         heaviest = max([count for _, count in heavy] + [nulls, 1])
+        dealt = tuple((item, -(-count // limit)) for item, count in heavy if count > limit)
         profiles.append(
             KeyProfile(
                 keys=tuple(keys),
@@ -95,6 +103,7 @@ def profile_keys(
                 salts=max(1, -(-heaviest // limit)),
                 # 1.2 covers the estimator's error
                 broadcastable=found[f"g{i}"] * 1.2 <= settings.broadcast_keys,
+                dealt=dealt,
             )
         )
     return profiles
@@ -107,17 +116,23 @@ def attach(
 
     Few keys (checked): broadcast, the big side does not move. Otherwise one shuffle; rows
     of hot or null keys are dealt over salts and only the hot keys' table rows, at most
-    ``max_hot_keys``, are repeated per salt.
+    ``max_hot_keys``, are repeated, each as often as its own rows ask for. The repeated table is
+    never broadcast: it may be much larger than what it is made from.
     """
     keys = list(profile.keys)
     if profile.broadcastable:
         return df.join(F.broadcast(table), keys, "left")
     if profile.salts == 1:
         return df.join(table, keys, "left")
-    copies = F.when(profile.is_hot, F.sequence(F.lit(0), F.lit(profile.salts - 1)))
-    salted = table.withColumn("_salt", F.explode(copies.otherwise(F.array(F.lit(0)))))
+    one = F.coalesce("_shares", F.lit(1))
+    spread = F.when(profile.has_null, F.lit(profile.salts)).otherwise(one)
+    salt = F.pmod(F.xxhash64(*spread_by), spread).cast("int")
+    copies = F.explode(F.sequence(F.lit(0), one - 1))
+    salted = profile.with_shares(table).withColumn("_salt", copies).drop("_shares").hint("merge")
     return (
-        df.withColumn("_salt", profile.salt(spread_by))
+        profile.with_shares(df)
+        .withColumn("_salt", salt)
+        .drop("_shares")
         .join(salted, [*keys, "_salt"], "left")
         .drop("_salt")
     )

@@ -29,11 +29,10 @@ def with_gap(
     first, has the gap and the others 0; the key need not be unique."""
     name = "time_since_last_transaction"
     (profile,) = profile_keys(df, [account], settings=skew)
-    out = df.where(~profile.has_null & ~profile.is_hot).withColumn(
-        name, gap_to_previous(account, time, row_key)
-    )
+    plain, hot = profile.split(df)
+    out = plain.where(~profile.has_null).withColumn(name, gap_to_previous(account, time, row_key))
     if profile.hot:
-        out = out.unionByName(_hot_gaps(df.where(profile.is_hot), account, time, row_key, name))
+        out = out.unionByName(_hot_gaps(hot, account, time, row_key, name))
     if profile.nulls:
         unknown = df.where(profile.has_null).withColumn(name, F.lit(None).cast("double"))
         out = out.unionByName(unknown)

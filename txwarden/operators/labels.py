@@ -36,11 +36,7 @@ def join_labels(
         same = F.col(key).eqNullSafe(F.col("_k"))
         return tx.join(F.broadcast(right), same, "left").select(*map(quoted, tx.columns), "reportedTime")
     (profile,) = profile_keys(right.withColumnRenamed("_k", key), [key], settings=skew)
-    many = F.xxhash64("_k").isin(list(profile.hot)) & F.col("_k").isNotNull()
-
-    left, plain = tx, right
-    if profile.hot:
-        left, plain = tx.where(~profile.is_hot), right.where(~many)
+    left, plain = profile.split(tx)[0], profile.split(right, "_k")[0]
     others = [quoted(c) for c in tx.columns if c != key]
     deal = F.pmod(F.xxhash64(*others), F.lit(null_salts)).cast("int")
     left = left.withColumn("_s", F.when(F.col(key).isNull(), deal).otherwise(F.lit(0)))
@@ -55,10 +51,11 @@ def join_labels(
         out = left.join(plain, (F.col(key) == F.col("_k")) & same_salt, "left")
     out = out.select(*map(quoted, tx.columns), "reportedTime")
     if profile.hot:
-        salts = F.sequence(F.lit(0), F.lit(profile.salts - 1))
-        repeated = tx.where(profile.is_hot).withColumn("_s", F.explode(salts))
-        dealt = right.where(many).withColumn(
-            "_rs", F.pmod(F.monotonically_increasing_id(), F.lit(profile.salts)).cast("int")
+        hot = F.col("_shares").isNotNull()
+        repeated = profile.with_shares(tx).where(hot)
+        repeated = repeated.withColumn("_s", F.explode(F.sequence(F.lit(0), F.col("_shares") - 1)))
+        dealt = profile.with_shares(right, "_k").where(hot).withColumn(
+            "_rs", F.pmod(F.monotonically_increasing_id(), F.col("_shares")).cast("int")
         )
         hot = repeated.join(dealt, (F.col(key) == F.col("_k")) & (F.col("_s") == F.col("_rs")))
         out = out.unionByName(hot.select(*map(quoted, tx.columns), "reportedTime"))

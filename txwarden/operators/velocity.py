@@ -80,14 +80,14 @@ def _trailing(df, hours, account, time, row_key, skew, name) -> DataFrame:
     timed = df.withColumn("_us", clock_micros(time))
     width = hours * 3_600_000_000
     known = ~profile.has_null & F.col("_us").isNotNull()
+    plain, hot = profile.split(timed)
     window = Window.partitionBy(account).orderBy("_us").rangeBetween(-width, 0)
     parts = [
-        timed.where(known & ~profile.is_hot).withColumn(name, F.count(F.lit(1)).over(window)),
+        plain.where(known).withColumn(name, F.count(F.lit(1)).over(window)),
         timed.where(~known).withColumn(name, F.lit(None).cast("long")),
     ]
     if profile.hot:
-        parts.append(_trailing_hot(timed.where(known & profile.is_hot), width, account, row_key,
-                                   skew, name))
+        parts.append(_trailing_hot(hot.where(known), width, account, row_key, skew, name))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -173,8 +173,9 @@ def account_window_features(
     )
     if velocity_mode == "literal":
         velocity = F.when(starts_bin(time, hours, origin), velocity)
+    plain, hot = profile.split(df)
     ordinary = (
-        df.where(~profile.has_null & ~profile.is_hot)
+        plain.where(~profile.has_null)
         .withColumn("_bin", bin_number(time, hours, origin))
         .withColumns(
             {
@@ -191,7 +192,6 @@ def account_window_features(
     )
     out = ordinary
     if profile.hot:
-        hot = df.where(profile.is_hot)
         hot = with_key_frequency(hot, [account], row_key, skew)
         hot = with_velocity(hot, velocity_mode, hours, account, time, row_key, skew, origin)
         hot = with_pair_frequency(hot, [account, category], names[2], row_key, skew)
