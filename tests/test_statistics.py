@@ -193,3 +193,26 @@ def test_approximate_scales_boxes_and_histograms(spark):
     assert auto_histogram(df.where("false"), "a", method="approx").collect() == []
     with pytest.raises(ValueError):
         fit_robust_scale(df, ["a"], method="guess")
+
+
+def test_quantiles_of_few_large_groups_need_no_look_up(spark, monkeypatch):
+    """Intervals spelled out in the plan and joined ones give NumPy's quantiles, also of null and
+    repeated values and a null group."""
+    from txwarden.functions import quantiles
+
+    rng = np.random.default_rng(11)
+    values = {"a": rng.normal(size=3000), "b": rng.integers(0, 5, 2000).astype(float), None: rng.gamma(2.0, 9.0, 1500)}
+    rows = [(g, float(v)) for g, own in values.items() for v in own] + [("a", None), (None, None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    looked_up = []
+    real = quantiles._inside
+    monkeypatch.setattr(quantiles, "_inside", lambda *args: looked_up.append(any(args[3])) or real(*args))
+    for most in (24, 0):
+        monkeypatch.setattr(quantiles, "SPELLED_INTERVALS", most)
+        found = quantiles.group_quantiles(df, "v", (0.0, 0.25, 0.5, 0.9, 1.0), ["g"], small_rows=100)
+        # but for counting around pivots, which are many
+        assert all(looked_up) == (most > 0)
+        for group, own in values.items():
+            assert found[(group,)].rows == len(own)
+            want = np.quantile(own, (0.0, 0.25, 0.5, 0.9, 1.0))
+            assert found[(group,)].values == pytest.approx(want.tolist(), rel=1e-12)

@@ -13,13 +13,15 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SMALL_ROWS = 250_000
 GRID = 500
 SKETCH_ACCURACY = 5_000
+#: Up to so many intervals are spelled out in the plan, which costs a row a few comparisons; more
+#: are joined as a table.
+SPELLED_INTERVALS = 24
 
 
 @dataclass
@@ -154,6 +156,23 @@ def _inside(
     return _join_groups(work, small, keys).where(within).select("_t", "_v", "_extra")
 
 
+def _tagged(work: DataFrame, by: Sequence[str], intervals: list[_Interval]) -> DataFrame:
+    """(_t, _v): rows of the intervals, tagged with the interval's number."""
+    if len(intervals) > SPELLED_INTERVALS:
+        return _inside(work, by, intervals, [[] for _ in intervals]).select("_t", "_v")
+    number = F.lit(None).cast("int")
+    for k, i in reversed(list(enumerate(intervals))):
+        within = F.lit(True)
+        for field, value in zip(work.select(*by).schema.fields, i.group):
+            within = within & F.col(field.name).eqNullSafe(F.lit(value).cast(field.dataType))
+        if i.low is not None:
+            within = within & (F.col("_v") > F.lit(i.low))
+        if i.high is not None:
+            within = within & (F.col("_v") < F.lit(i.high))
+        number = F.when(within, k).otherwise(number)
+    return work.select(number.alias("_t"), "_v").where(F.col("_t").isNotNull())
+
+
 def _narrow(
     work: DataFrame, by: Sequence[str], intervals: list[_Interval], found: dict[tuple, float]
 ) -> list[_Interval]:
@@ -162,7 +181,7 @@ def _narrow(
     steps = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
     sketch = {
         row["_t"]: row["_grid"]
-        for row in _inside(work, by, intervals, [[] for _ in intervals])
+        for row in _tagged(work, by, intervals)
         .groupBy("_t")
         .agg(F.percentile_approx("_v", steps, F.lit(SKETCH_ACCURACY)).alias("_grid"))
         .collect()
@@ -205,12 +224,13 @@ def _finish(
 ) -> None:
     """Intervals of at most ``small_rows`` rows: running count over their distinct values."""
     wants = [[float(r - i.below) for r in i.ranks] for i in intervals]
-    counted = _inside(work, by, intervals, wants).groupBy("_t", "_v").agg(
-        F.count(F.lit(1)).alias("_n"), F.first("_extra").alias("_wants")
-    )
+    counted = _tagged(work, by, intervals).groupBy("_t", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    # looked up after counting: an array in the aggregate would make Spark sort all rows
+    ranks = work.sparkSession.createDataFrame(list(enumerate(wants)), "_t int, _wants array<double>")
     upto = Window.partitionBy("_t").orderBy("_v")
     hits = (
         counted.withColumn("_upto", F.sum("_n").over(upto))
+        .join(F.broadcast(ranks), "_t")
         .select("_t", "_v", "_n", "_upto", F.explode("_wants").alias("_want"))
         .where((F.col("_want") < F.col("_upto")) & (F.col("_want") >= F.col("_upto") - F.col("_n")))
     )
