@@ -161,3 +161,13 @@ def test_staged_tables_go_with_the_session(spark, tmp_path):
     staging.spark = None  # as after the session has ended
     staging._close_at_exit()
     assert not os.path.exists(tmp_path / "scratch")
+
+
+def test_row_ids_do_not_move_rows(spark):
+    """Few repeated keys are looked up by broadcast, though nothing is known of the table's size."""
+    df = spark.createDataFrame([(i % 900,) for i in range(1000)] + [(None,)], "eventId long")
+    marked = with_row_id(df, "eventId", "rowId")
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    ids = [r["rowId"] for r in marked.collect()]
+    assert len(set(ids)) == 1001 and sum("#" in i for i in ids) == 201

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txwarden.functions.quantiles import SMALL_ROWS, order_statistics
+from txwarden.functions.staging import stage
 
 #: Rows that one task ranks, on average.
 BUCKET_ROWS = 50_000
@@ -22,9 +23,10 @@ def shuffle_key(key: str, seed: int) -> Column:
 def with_row_id(df: DataFrame, key: str, name: str) -> DataFrame:
     """Text that tells every row apart: the key where it is known and unique, otherwise the key
     and a number, which holds once the result is stored. Only keys are counted, and the few
-    repeated ones are looked up."""
+    repeated ones, stored so that their number is known, are looked up: rows stay where they are."""
     again = df.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
     again = again.where((F.col("_n") > 1) | F.col("_k").isNull()).select("_k", F.lit(1).alias("_again"))
+    again = stage(again, "again")
     text = F.coalesce(F.col(key).cast("string"), F.lit("null"))
     number = F.monotonically_increasing_id().cast("string")
     marked = df.join(again, F.col(key).eqNullSafe(F.col("_k")), "left")
